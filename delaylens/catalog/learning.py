@@ -1 +1,294 @@
-"""Queries without an SQL equivalent."""
+"""Models, search, components and attributions: results without an SQL equivalent."""
+
+from pyspark import StorageLevel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import DataFrame, functions as F
+
+from ..operators import encode, evaluate, explain, models, neural, search, split
+from ..operators.scale import bounded
+from ..plans import congestion, delay_minutes, late_flights, logistic_study
+from ..sources import stores
+from ..sources.sample_tables import classification_sample
+from ..streaming.scoring import landed_stream, score_records, score_stream
+from .base import SEED, Tables, query
+
+KEY = "FLIGHT_ID"
+FIVE = ["CRS_DEP_TIME", "CRS_ELAPSED_TIME", "DEP_DELAY", "TAXI_OUT", "TAXI_IN"]
+TWENTY = [f"feature_{i}" for i in range(20)]
+
+
+def learning_rows(t: Tables) -> DataFrame:
+    """Five scaled measures, both labels, a split and fold columns; persisted because fits iterate."""
+    rows = t.late.select(KEY, "ARR_DELAY", "LATE", *FIVE).dropna("any")
+    rows = split.random_split(rows, KEY, seed=SEED)
+    rows = encode.standard_scale(rows, FIVE, fit_on=rows.where("split = 'train'"))
+    return models.assemble(split.kfold(rows, KEY, 3, SEED), FIVE).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def part(rows: DataFrame, name: str) -> DataFrame:
+    return rows.where(F.col("split") == name)
+
+
+def settled(rows: DataFrame, result: DataFrame) -> DataFrame:
+    """Evaluate a small result before the training rows are released."""
+    out = bounded(result)
+    rows.unpersist()
+    return out
+
+
+def judged(scored: DataFrame, name: str) -> DataFrame:
+    return bounded(evaluate.classification_metrics(scored, "LATE", "predicted", "probability_1", name))
+
+
+@query("m4_ridge")
+def m4(t: Tables):
+    rows = learning_rows(t)
+    found = [bounded(evaluate.regression_metrics(models.ridge(part(rows, "train"), "ARR_DELAY", alpha).transform(
+        part(rows, "test")), "ARR_DELAY", "prediction", f"Ridge alpha={alpha}")) for alpha in (1.0, 10.0)]
+    return settled(rows, evaluate.compare_models(found))
+
+
+@query("m5_forest_regression")
+def m5(t: Tables):
+    rows = learning_rows(t)
+    found = [bounded(evaluate.regression_metrics(models.forest_regressor(
+        part(rows, "train"), "ARR_DELAY", trees, depth).transform(part(rows, "test")), "ARR_DELAY", "prediction",
+        f"Forest trees={trees} depth={depth}")) for trees, depth in ((50, 5), (50, 10))]
+    return settled(rows, evaluate.compare_models(found))
+
+
+@query("m6_logistic_l1")
+def m6(t: Tables):
+    rows = learning_rows(t)
+    found = [judged(models.score(part(rows, "test"), models.logistic(part(rows, "train"), "LATE", c, l1=True)),
+                    f"Logistic C={c}") for c in (1.0, 10.0)]
+    return settled(rows, evaluate.compare_models(found))
+
+
+@query("m7_logistic_variants")
+def m7(t: Tables):
+    return logistic_study.compare_variants(t.flights, "minimal")["metrics"]
+
+
+@query("m7_logistic_busy_airports")
+def m7_busy(t: Tables):
+    return logistic_study.compare_variants(t.flights, "busy", [{"balanced": True, "c": 0.01}])["metrics"]
+
+
+@query("m8_neural_classifier")
+def m8(t: Tables):
+    rows = learning_rows(t)
+    train = models.balance_by_sampling(part(rows, "train"), "LATE", KEY).persist(StorageLevel.MEMORY_AND_DISK)
+    model, _ = models.perceptron_ladder(train, part(rows, "val"), "LATE", [32], (25, 50))
+    train.unpersist()
+    return settled(rows, judged(models.score(part(rows, "test"), model), "Perceptron"))
+
+
+@query("m8_neural_classifier_dropout")
+def m8_dropout(t: Tables):
+    rows = learning_rows(t)
+    net = neural.Net(len(FIVE), (32, 32), "classification", 0.1, 1e-3, 32)
+    fitted = neural.fit_network(part(rows, "train"), FIVE, "LATE", net, part(rows, "val"), 12, 5)
+    scored = fitted.transform(part(rows, "test"), "probability_1").withColumn(
+        "predicted", (F.col("probability_1") > 0.5).cast("int"))
+    return settled(rows, judged(scored, "Network"))
+
+
+@query("m9_neural_regressor")
+def m9(t: Tables):
+    rows = learning_rows(t)
+    fitted = neural.fit_network(part(rows, "train"), FIVE, "ARR_DELAY", neural.Net(len(FIVE), (64, 32)),
+                                part(rows, "val"), 12, 3, "mae")
+    return settled(rows, evaluate.regression_metrics(fitted.transform(part(rows, "test")), "ARR_DELAY", "prediction", "Network"))
+
+
+SMALL_GRID = {"step": [0.1], "depth": [3, 5], "min_rows": [1], "row_share": [1.0], "column_share": [1.0]}
+
+
+@query("m10_boosted_trees")
+def m10(t: Tables):
+    settings = congestion.CongestionSettings(folds=2, rounds=5, grid=SMALL_GRID)
+    return congestion.run(t.flights, settings)["summary"]
+
+
+@query("m11_grid_search")
+def m11(t: Tables):
+    rows = learning_rows(t)
+    base = LogisticRegression(labelCol="LATE", maxIter=50)
+    _, _, table = search.grid_search(base, {"regParam": [0.0, 0.01, 0.1]}, part(rows, "train"),
+                                     BinaryClassificationEvaluator(labelCol="LATE", numBins=0), 3)
+    return settled(rows, table)
+
+
+@query("m12_random_search")
+def m12(t: Tables):
+    rows = learning_rows(t)
+    base = LogisticRegression(labelCol="LATE", maxIter=50)
+    grid = {"regParam": [0.0, 0.001, 0.01, 0.1], "elasticNetParam": [0.0, 1.0]}
+    _, _, table = search.random_search(base, grid, 3, part(rows, "train"),
+                                       BinaryClassificationEvaluator(labelCol="LATE", numBins=0), 3)
+    return settled(rows, table)
+
+
+@query("m12_network_random_search")
+def m12_network(t: Tables):
+    rows = learning_rows(t)
+    _, table = neural.network_random_search(part(rows, "train"), part(rows, "val"), FIVE, "LATE", trials=2, epochs=4)
+    return settled(rows, table)
+
+
+@query("m13_kfold_network_search")
+def m13(t: Tables):
+    rows = learning_rows(t)
+    settings = [{"hidden": (64, 32), "batch": 64, "epochs": 3}, {"hidden": (64, 64), "batch": 64, "epochs": 3}]
+    _, table = neural.kfold_network_search(part(rows, "train"), part(rows, "val"), FIVE, "ARR_DELAY", settings, k=3)
+    return settled(rows, table)
+
+
+@query("m14_load_or_fit")
+def m14(t: Tables):
+    rows, folder = learning_rows(t), stores.scratch_path(t.spark, "models")
+    uses = []
+    for attempt in (1, 2):  # the second call reuses the stored model
+        model, reused = stores.load_or_fit(part(rows, "train"), folder, "logistic", {"c": 1.0},
+                                           lambda d: models.logistic(d, "LATE"))
+        uses.append((attempt, reused, float(model.intercept)))
+    return settled(rows, t.spark.createDataFrame(uses, "attempt int, reused boolean, intercept double"))
+
+
+@query("m15_score")
+def m15(t: Tables):
+    rows = learning_rows(t)
+    model = models.logistic(part(rows, "train"), "LATE")
+    rows.unpersist()
+    return models.score(part(rows, "test"), model).select(KEY, "LATE", "probability_1", "predicted")
+
+
+@query("m16_score_records")
+def m16(t: Tables):
+    model = five_measure_model(t)
+    return score_records(t.flights.select(KEY, *FIVE), model)
+
+
+def five_measure_model(t: Tables):
+    train = t.late.select("LATE", *FIVE).dropna("any")
+    return models.scaler_pca_logistic(train, FIVE, "LATE", 5)
+
+
+@query("a5_save_and_load_model")
+def a5(t: Tables):
+    folder = stores.scratch_path(t.spark, "models")
+    stores.save_model(five_measure_model(t), folder, "five")
+    model = stores.load_model(t.spark, folder, "five")
+    return models.score(t.flights.select(KEY, *FIVE), model).select(KEY, "probability_1", "predicted")
+
+
+@query("t1_stream_scoring")
+def t1(t: Tables):
+    model = five_measure_model(t)
+    source = stores.write_table(t.flights.select(KEY, *FIVE), stores.scratch_path(t.spark, "arrivals"))
+    out, mark = stores.scratch_path(t.spark, "scored"), stores.scratch_path(t.spark, "progress")
+    stream = landed_stream(t.spark, source, t.spark.read.parquet(source).schema)
+    score_stream(stream, model, out, mark, [KEY], once=True).awaitTermination()
+    return t.spark.read.parquet(out)
+
+
+@query("f8_pca")
+def f8(t: Tables):
+    rows = t.late.select(KEY, *FIVE).dropna("any").persist(StorageLevel.MEMORY_AND_DISK)
+    scaling, model, count = models.fit_pca(rows, FIVE)
+    rows.unpersist()
+    return models.apply_pca(rows, FIVE, scaling, model, count).select(KEY, *[f"PC{i + 1}" for i in range(count)])
+
+
+@query("f9_explained_variance")
+def f9(t: Tables):
+    rows = t.late.select(*FIVE).dropna("any")
+    return models.explained_variance_table(rows, models.fit_pca(rows, FIVE)[1])
+
+
+@query("f9_explained_variance_embeddings")
+def f9_embeddings(t: Tables):
+    rows = classification_sample(t.spark, t.folder)
+    return models.explained_variance_table(rows, models.fit_pca(rows, TWENTY)[1])
+
+
+@query("f10_select_top_features")
+def f10(t: Tables):
+    rows = learning_rows(t)
+    return settled(rows, models.select_top_features(rows.drop("features"), FIVE, "ARR_DELAY", 3, trees=20, depth=5))
+
+
+@query("f12_scaler_pca_logistic")
+def f12(t: Tables):
+    scored = models.score(t.late.select(KEY, "LATE", *FIVE), five_measure_model(t))
+    return judged(scored, "Scaler, components, logistic")
+
+
+@query("i10_learning_curve")
+def i10(t: Tables):
+    rows = learning_rows(t)
+    fitted = neural.fit_network(part(rows, "train"), FIVE, "ARR_DELAY", neural.Net(len(FIVE), (64, 32)),
+                                part(rows, "val"), 6, 3, "mae")
+    rows.unpersist()
+    return fitted.learning_curve(rows)
+
+
+@query("x1_feature_importance")
+def x1(t: Tables):
+    rows = learning_rows(t)
+    model = models.forest_classifier(part(rows, "train"), "LATE", 20, 5)
+    return settled(rows, explain.feature_importance(t.spark, model, FIVE))
+
+
+@query("x2_coefficient_importance")
+def x2(t: Tables):
+    rows = learning_rows(t)
+    return settled(rows, explain.coefficient_importance(t.spark, models.logistic(part(rows, "train"), "LATE"), FIVE))
+
+
+@query("x2_coefficient_importance_embeddings")
+def x2_embeddings(t: Tables):
+    rows = models.assemble(classification_sample(t.spark, t.folder), TWENTY)
+    return explain.coefficient_importance(t.spark, models.logistic(rows, "target"), TWENTY)
+
+
+@query("x3_pca_back_projection")
+def x3(t: Tables):
+    return logistic_study.component_study(t.flights, "air only")["importance"]
+
+
+@query("x5_tree_shap")
+def x5(t: Tables):
+    rows = learning_rows(t)
+    model = models.forest_regressor(part(rows, "train"), "ARR_DELAY", 10, 5)
+    rows.unpersist()
+    return explain.tree_shap(rows.drop("features"), KEY, model, FIVE)
+
+
+@query("x6_sampled_shap")
+def x6(t: Tables):
+    rows = learning_rows(t)
+    model = models.logistic(part(rows, "train"), "LATE")
+
+    def predict(points: DataFrame) -> DataFrame:
+        return models.score(models.assemble(points, FIVE), model).withColumnRenamed("probability_1", "score")
+
+    sample = split.sample_n(part(rows, "test").drop("features"), 1000, KEY, SEED)
+    found = explain.sampled_shap(sample, KEY, FIVE, predict, part(rows, "train"), KEY, 20)
+    return settled(rows, explain.shap_summary(found))
+
+
+@query("late_flight_run")
+def late_flight_run(t: Tables):
+    settings = late_flights.LateFlightSettings(epochs=8)
+    return late_flights.run(t.flights, settings)["comparison"]
+
+
+@query("delay_minutes_run")
+def delay_minutes_run(t: Tables):
+    settings = delay_minutes.DelayMinutesSettings(
+        trees=10, depth=5, folds=2, outlier_columns=("DEP_DELAY", "TAXI_OUT", "TAXI_IN", "ARR_DELAY"))
+    networks = [{"hidden": (64, 32), "batch": 64, "epochs": 4}]
+    return delay_minutes.run(t.flights, settings, networks)["comparison"]

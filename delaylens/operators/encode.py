@@ -29,10 +29,10 @@ def fit_woe(df: DataFrame, columns: list[str], label: str, null_mode: str = "cat
     ).unpivot(["__y"], columns, "column", "category")
     stats = long.groupBy("column", "category").agg(F.count("*").alias("n"), F.sum("__y").alias("p"))
     stats = stats.join(
-        stats.groupBy("column").agg(F.sum("p").alias("P"), F.sum(F.col("n") - F.col("p")).alias("N")), "column")
+        stats.groupBy("column").agg(F.sum("p").alias("all_p"), F.sum(F.col("n") - F.col("p")).alias("all_n")), "column")
     a = F.lit(float(smoothing))
-    share_p = (F.col("p") + a) / (F.col("P") + 2 * a)
-    share_n = (F.col("n") - F.col("p") + a) / (F.col("N") + 2 * a)
+    share_p = (F.col("p") + a) / (F.col("all_p") + 2 * a)
+    share_n = (F.col("n") - F.col("p") + a) / (F.col("all_n") + 2 * a)
     woe = F.when(F.col("n") == 1, 0.0).otherwise(F.log(share_p / share_n))
     return stats.select("column", "category", woe.alias("woe"))
 
@@ -70,8 +70,8 @@ def label_encode(df: DataFrame, column: str, fitted: DataFrame | None = None, ta
     target = target or column
     fitted = fit_categories(df, column) if fitted is None else fitted
     keyed = df.withColumn("__category", F.col(column).cast("string"))
-    out = lookup_map(keyed, "__category", fitted, {"code": "__code"}, "category", {"__code": unseen})
-    return out.drop("__category").withColumn(target, F.col("__code").cast("bigint")).drop("__code")
+    out = lookup_map(keyed, "__category", fitted, {"code": "__found"}, "category", {"__found": unseen})
+    return out.withColumn(target, F.col("__found").cast("bigint")).drop("__category", "__found")
 
 
 def ordinal_encode(df: DataFrame, column: str, order: list[str], target: str | None = None) -> DataFrame:
