@@ -6,7 +6,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import encode, evaluate, explain, models, neural, search, split
-from ..operators.scale import bounded
+from ..operators.scale import bounded, complete_rows
 from ..plans import congestion, delay_minutes, late_flights, logistic_study
 from ..sources import stores
 from ..sources.sample_tables import classification_sample
@@ -20,7 +20,7 @@ TWENTY = [f"feature_{i}" for i in range(20)]
 
 def learning_rows(t: Tables) -> DataFrame:
     """Five scaled measures, both labels, a split and fold columns; persisted because fits iterate."""
-    rows = t.late.select(KEY, "ARR_DELAY", "LATE", *FIVE).dropna("any")
+    rows = complete_rows(t.late.select(KEY, "ARR_DELAY", "LATE", *FIVE))
     rows = split.random_split(rows, KEY, seed=SEED)
     rows = encode.standard_scale(rows, FIVE, fit_on=rows.where("split = 'train'"))
     return models.assemble(split.kfold(rows, KEY, 3, SEED), FIVE).persist(StorageLevel.MEMORY_AND_DISK)
@@ -172,7 +172,7 @@ def m16(t: Tables):
 
 
 def five_measure_model(t: Tables):
-    train = t.late.select("LATE", *FIVE).dropna("any")
+    train = complete_rows(t.late.select("LATE", *FIVE))
     return models.scaler_pca_logistic(train, FIVE, "LATE", 5)
 
 
@@ -196,7 +196,7 @@ def t1(t: Tables):
 
 @query("f8_pca")
 def f8(t: Tables):
-    rows = t.late.select(KEY, *FIVE).dropna("any").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = complete_rows(t.late.select(KEY, *FIVE)).persist(StorageLevel.MEMORY_AND_DISK)
     scaling, model, count = models.fit_pca(rows, FIVE)
     rows.unpersist()
     return models.apply_pca(rows, FIVE, scaling, model, count).select(KEY, *[f"PC{i + 1}" for i in range(count)])
@@ -204,7 +204,7 @@ def f8(t: Tables):
 
 @query("f9_explained_variance")
 def f9(t: Tables):
-    rows = t.late.select(*FIVE).dropna("any")
+    rows = complete_rows(t.late.select(*FIVE))
     return models.explained_variance_table(rows, models.fit_pca(rows, FIVE)[1])
 
 

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.times import over_threshold
-from .scale import approximate_quantiles, exact_quantiles, numeric_columns
+from .scale import approximate_quantiles, complete_rows, exact_quantiles, numeric_columns
 
 
 def filter_not_cancelled(df: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def drop_null_label(df: DataFrame, label: str) -> DataFrame:
 
 
 def drop_any_null(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.dropna("any", subset=columns)
+    return complete_rows(df, columns)
 
 
 def non_null_counts(df: DataFrame) -> dict[str, int]:
@@ -176,7 +176,7 @@ def low_cardinality_columns(df: DataFrame, low: int = 2, high: int = 49, columns
 
 def select_features(df: DataFrame, features: list[str], label: str, drop_nulls: bool = True) -> DataFrame:
     chosen = df.select(*features, label)
-    return chosen.dropna("any") if drop_nulls else chosen
+    return complete_rows(chosen) if drop_nulls else chosen
 
 
 def require(df: DataFrame, columns: list[str] | None = None, non_empty: bool = False, label: str | None = None,

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .report import top_by_absolute
-from .scale import hash_uniform
+from .scale import complete_rows, hash_uniform
 from .split import sample_n
 
 
@@ -136,7 +136,7 @@ def tree_shap(df: DataFrame, key: str, model, names: list[str]) -> DataFrame:
                     attribute_leaf(leaf, x, phi)
             yield pd.DataFrame({key: pdf[key], "value": list(x), "phi": list(phi)})
 
-    rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in names]).dropna("any", subset=names)
+    rows = complete_rows(df.select(key, *[F.col(c).cast("double").alias(c) for c in names]), names)
     found = rows.mapInPandas(explain, out)
     zipped = F.arrays_zip(F.array(*[F.lit(c) for c in names]).alias("feature"), "value", "phi")
     return found.select(key, F.lit(base).alias("base"), F.inline(zipped))
@@ -151,14 +151,14 @@ def sampled_shap(rows: DataFrame, key: str, names: list[str], predict, backgroun
     maps a DataFrame with the feature columns to the same rows plus ``score``. phi and base add up to the
     score exactly when the permutations use every background row.
     """
-    drawn = sample_n(background.dropna("any", subset=names), permutations, background_key, seed)
+    drawn = sample_n(complete_rows(background, names), permutations, background_key, seed)
     points = [[float(r[c]) for c in names] for r in drawn.select(*names).collect()]
     if not points:
         raise ValueError("the background has no complete row")
     d, p = len(names), len(points)
     table = F.array(*[F.array(*[F.lit(v) for v in point]) for point in points])
     own = F.array(*[F.col(c).cast("double") for c in names])
-    base_rows = rows.dropna("any", subset=names).select(
+    base_rows = complete_rows(rows, names).select(
         key, own.alias("__own"), F.explode(F.sequence(F.lit(0), F.lit(p - 1))).alias("__p"))
     order = F.array_sort(F.transform(
         F.sequence(F.lit(0), F.lit(d - 1)),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import times as t
 from .lookup import lookup_map
-from .scale import bounded
+from .scale import bounded, complete_rows
 
 
 def cyclical_minutes(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -98,10 +98,8 @@ def airport_congestion(df: DataFrame, window: int = 60, date: str = "FL_DATE", p
     (date, place) whatever the number of rows, and the result is joined back. NULL keys count 0.
     """
     minute = t.hhmm_to_minutes(clock).cast("int")
-    per_minute = (
-        df.select(F.col(date).alias("__d"), F.col(place).alias("__p"), minute.alias("__m"))
-        .dropna("any").groupBy("__d", "__p", "__m").agg(F.count("*").alias("__n"))
-    )
+    keys = df.select(F.col(date).alias("__d"), F.col(place).alias("__p"), minute.alias("__m"))
+    per_minute = complete_rows(keys).groupBy("__d", "__p", "__m").agg(F.count("*").alias("__n"))
     frame = Window.partitionBy("__d", "__p").orderBy("__m").rangeBetween(-window, window)
     counts = per_minute.select("__d", "__p", "__m", F.sum("__n").over(frame).alias("__near"))
     keyed = df.withColumn("__minute", minute)

@@ -6,24 +6,31 @@ from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
 )
-from pyspark.ml.feature import PCA, PCAModel, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, PCAModel, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .encode import Scaling, apply_standard, fit_standard
-from .scale import exact_quantiles, hash_uniform
+from .scale import complete_rows, exact_quantiles, hash_uniform
 
 FEATURES = "features"
 WEIGHT = "class_weight"
 
 
-def assembler(features: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="skip")
+def assembler(features: list[str], target: str = FEATURES) -> VectorAssembler:
+    return VectorAssembler(inputCols=features, outputCol=target, handleInvalid="error")
 
 
 def assemble(df: DataFrame, features: list[str]) -> DataFrame:
-    return assembler(features).transform(df)
+    """One vector per complete row; the assembler's own skipping would be one n-column test."""
+    return assembler(features).transform(complete_rows(df, features))
+
+
+def complete_rows_stage(columns: list[str]) -> SQLTransformer:
+    """``complete_rows`` as a storable stage."""
+    test = " AND ".join(f"`{c}` IS NOT NULL" for c in columns)
+    return SQLTransformer(statement=f"SELECT * FROM __THIS__ WHERE {test}")
 
 
 # --- baselines -------------------------------------------------------------------------------------
@@ -109,7 +116,7 @@ def balance_by_sampling(df: DataFrame, label: str, key: str, seed: int = 42) ->
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
     least = min(counts.values())
     share = F.create_map(*[v for y, n in counts.items() for v in (F.lit(y), F.lit(least / n))])[F.col(label)]
-    return df.where(hash_uniform(key, seed) / F.lit(2.0 ** 32) < share)
+    return df.where(hash_uniform(key, f"balance-{seed}") / F.lit(2.0 ** 32) < share)
 
 
 def perceptron_ladder(train: DataFrame, validation: DataFrame, label: str, hidden: list[int],
@@ -178,7 +185,7 @@ def component_signs(model: PCAModel) -> list[int]:
 
 def apply_pca(df: DataFrame, columns: list[str], scaling: Scaling, model: PCAModel, count: int) -> DataFrame:
     """Add ``PC1 .. PCk`` to the rows that have every column."""
-    scaled = apply_standard(df.dropna("any", subset=columns).withColumns({f"__raw_{c}": F.col(c) for c in columns}), scaling)
+    scaled = apply_standard(complete_rows(df, columns).withColumns({f"__raw_{c}": F.col(c) for c in columns}), scaling)
     out = model.transform(assemble(scaled, columns))
     parts, signs = vector_to_array("components"), component_signs(model)
     out = out.withColumns({f"PC{i + 1}": parts[i] * signs[i] for i in range(count)})
@@ -208,7 +215,8 @@ def scaler_pca_logistic(train: DataFrame, columns: list[str], label: str, compon
     if weight:
         classifier.setWeightCol(weight)
     return Pipeline(stages=[
-        VectorAssembler(inputCols=columns, outputCol="raw", handleInvalid="skip"),
+        complete_rows_stage(columns),
+        assembler(columns, "raw"),
         StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
         PCA(k=components, inputCol="scaled", outputCol="components"),
         classifier,

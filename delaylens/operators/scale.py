@@ -26,6 +26,21 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 
 
+def complete_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Rows where every column has a value.
+
+    One condition per column: the single n-column test behind ``dropna`` is repeated by the optimizer for
+    every combination of columns that are renamed or scaled afterwards.
+    """
+    fractional = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    test = F.lit(True)
+    for c in columns or df.columns:
+        test = test & F.col(c).isNotNull()
+        if c in fractional:
+            test = test & ~F.isnan(c)
+    return df.where(test)
+
+
 def bounded(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Evaluate a fitted table once and mark it for broadcast when its size is proven small.
 
