@@ -6,7 +6,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import encode, evaluate, explain, models, neural, search, split
-from ..operators.scale import bounded, complete_rows
+from ..operators.scale import bounded, complete_rows, spread
 from ..plans import congestion, delay_minutes, late_flights, logistic_study
 from ..sources import stores
 from ..sources.sample_tables import classification_sample
@@ -23,7 +23,7 @@ def learning_rows(t: Tables) -> DataFrame:
     rows = complete_rows(t.late.select(KEY, "ARR_DELAY", "LATE", *FIVE))
     rows = split.random_split(rows, KEY, seed=SEED)
     rows = encode.standard_scale(rows, FIVE, fit_on=rows.where("split = 'train'"))
-    return models.assemble(split.kfold(rows, KEY, 3, SEED), FIVE).persist(StorageLevel.MEMORY_AND_DISK)
+    return spread(models.assemble(split.kfold(rows, KEY, 3, SEED), FIVE))
 
 
 def part(rows: DataFrame, name: str) -> DataFrame:
@@ -282,7 +282,7 @@ def x6(t: Tables):
 
 @query("late_flight_run")
 def late_flight_run(t: Tables):
-    settings = late_flights.LateFlightSettings(epochs=8)
+    settings = late_flights.LateFlightSettings(epochs=8, logistic_iterations=40)
     return late_flights.run(t.flights, settings)["comparison"]
 
 

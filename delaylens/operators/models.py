@@ -78,13 +78,13 @@ def ridge(train: DataFrame, label: str, alpha: float = 1.0):
 
 
 def logistic(train: DataFrame, label: str, c: float = 1.0, l1: bool = False, balanced: bool = True,
-             max_iter: int = 200):
+             max_iter: int = 100, tol: float = 1e-6):
     """Logistic regression with inverse penalty strength ``c``; the intercept is not penalised."""
     weighted = class_weights(train, label, balanced)
     total = weighted.agg(F.sum(WEIGHT)).first()[0]
     return LogisticRegression(
         featuresCol=FEATURES, labelCol=label, weightCol=WEIGHT, elasticNetParam=1.0 if l1 else 0.0,
-        regParam=1.0 / (c * total), standardization=False, maxIter=max_iter, tol=1e-8).fit(weighted)
+        regParam=1.0 / (c * total), standardization=False, maxIter=max_iter, tol=tol).fit(weighted)
 
 
 def forest_regressor(train: DataFrame, label: str, trees: int = 100, depth: int = 10, seed: int = 42):

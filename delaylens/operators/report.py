@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import times as t
 from .clean import filter_delayed
-from .scale import bounded, numeric_columns, quantiles_of_counts, value_counts_long
-
-CORRELATION_CHUNK = 120
+from .scale import bounded, numeric_columns, quantiles_of_counts, sum_over_tasks, value_counts_long
 
 
 def head(df: DataFrame, n: int, key: str) -> DataFrame:
@@ -174,31 +174,39 @@ def shape(stages: dict[str, DataFrame]) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Absolute Pearson correlation of every column pair, over the rows where both are known.
 
-    Pairs (a, b) with a before b. Each aggregate carries a bounded number of pairs so that its code stays
-    compilable; measures are persisted when there is more than one.
+    Pairs (a, b) with a before b; undefined ones (a constant side) are NULL. Hundreds of pair aggregates
+    do not fit Spark's generated code, so each task adds up matrix products of its Arrow batches and only
+    the sums, as many as pairs of columns, are combined. Values are centred first to keep the digits.
     """
     columns = columns or numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+    d = len(columns)
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    chunks = [pairs[i:i + CORRELATION_CHUNK] for i in range(0, len(pairs), CORRELATION_CHUNK)]
-    if len(chunks) > 1:
-        numbers = numbers.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    for chunk in chunks:
-        found = numbers.agg(*[_abs_corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(chunk)]).first()
-        rows += [(columns.index(a), columns.index(b), a, b, found[f"p{i}"]) for i, (a, b) in enumerate(chunk)]
-    if len(chunks) > 1:
-        numbers.unpersist()
+    means = numbers.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    centre = np.array([means[c] if means[c] is not None else 0.0 for c in columns])
+
+    def products(batches):
+        total = np.zeros((4, d, d))
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=float) - centre
+            known = ~np.isnan(x)
+            x = np.where(known, x, 0.0)
+            m = known.astype(float)
+            total += [m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x]
+        yield pd.DataFrame({"totals": [total.ravel()]})
+
+    sums = sum_over_tasks(numbers, products)
+    n, s, q, p = sums.reshape(4, d, d) if len(sums) else np.zeros((4, d, d))
+    spread = n * q - s * s
+    flat = (spread <= 1e-12 * n * q) | (q <= 1e-20 * n * (1 + centre[:, None] ** 2))
+    defined = ~(flat | flat.T)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        r = np.abs(n * p - s * s.T) / np.sqrt(spread * spread.T)
+    rows = [(i, j, columns[i], columns[j], float(r[i, j]) if defined[i, j] else None)
+            for i in range(d) for j in range(i + 1, d)]
     return df.sparkSession.createDataFrame(
         rows, "position_a int, position_b int, column_a string, column_b string, abs_corr double")
 
 
-def _abs_corr(a: str, b: str) -> Column:
-    """NULL for a constant side, so that an undefined correlation never reads as a number."""
-    c = F.corr(a, b)
-    return F.abs(F.when(~F.isnan(c), c))
-
-
 def high_correlation_pairs(matrix: DataFrame, threshold: float = 0.9) -> DataFrame:
     """Pairs at or above the threshold; ``drop_column`` is the second of each pair."""
     return matrix.where(F.col("abs_corr") >= threshold).select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -41,6 +42,32 @@ def complete_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.where(test)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Persist rows that several fits will read, in at least as many partitions as there are cores.
+
+    Only an input in fewer partitions than cores is shuffled; a large one keeps its partitions.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if kept.rdd.getNumPartitions() >= cores:
+        return kept
+    wider = kept.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    wider.count()
+    kept.unpersist()
+    return wider
+
+
+def sum_over_tasks(df: DataFrame, work) -> np.ndarray:
+    """Run ``work`` on the batches of every partition and add the returned arrays, position by position, on the cluster.
+
+    ``work`` yields frames with one array column ``totals``; only its length reaches the driver.
+    """
+    sent = df.mapInPandas(work, "totals array<double>")
+    summed = sent.select(F.posexplode("totals")).groupBy("pos").agg(F.sum("col").alias("v")).toPandas()
+    return summed.sort_values("pos")["v"].to_numpy()
+
+
 def bounded(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Evaluate a fitted table once and mark it for broadcast when its size is proven small.
 
