@@ -51,9 +51,9 @@ def d5(t: Tables):
 
 
 @query("f2_one_hot", "SELECT FLIGHT_ID, " + ", ".join(
-    f"CASE WHEN ORIGIN = '{a}' THEN 1 ELSE 0 END AS ORIGIN_{a}" for a in AIRPORTS) + " FROM flights")
+    f"CASE WHEN DEST = '{a}' THEN 1 ELSE 0 END AS DEST_{a}" for a in AIRPORTS) + " FROM flights")
 def f2(t: Tables):
-    return encode.one_hot(t.flights.select("FLIGHT_ID", "ORIGIN"), "ORIGIN")
+    return encode.one_hot(t.flights.select("FLIGHT_ID", "DEST"), "DEST")
 
 
 @query("f2_one_hot_sparse", "SELECT FLIGHT_ID, CAST(dense_rank() OVER (ORDER BY CAST(FL_NUMBER AS VARCHAR)) - 1 AS INT) AS hot FROM flights")

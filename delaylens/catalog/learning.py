@@ -290,5 +290,5 @@ def late_flight_run(t: Tables):
 def delay_minutes_run(t: Tables):
     settings = delay_minutes.DelayMinutesSettings(
         trees=10, depth=5, folds=2, outlier_columns=("DEP_DELAY", "TAXI_OUT", "TAXI_IN", "ARR_DELAY"))
-    networks = [{"hidden": (64, 32), "batch": 64, "epochs": 4}]
+    networks = [{"hidden": (64, 32), "batch": 32, "epochs": 8}]
     return delay_minutes.run(t.flights, settings, networks)["comparison"]
