@@ -156,14 +156,14 @@ def sampled_shap(rows: DataFrame, key: str, names: list[str], predict, backgroun
     if not points:
         raise ValueError("the background has no complete row")
     d, p = len(names), len(points)
-    table = F.array(*[F.array(*[F.lit(v) for v in point]) for point in points])
+    starts = F.broadcast(rows.sparkSession.createDataFrame(list(enumerate(points)), "__p int, __from array<double>"))
     own = F.array(*[F.col(c).cast("double") for c in names])
     base_rows = complete_rows(rows, names).select(
         key, own.alias("__own"), F.explode(F.sequence(F.lit(0), F.lit(p - 1))).alias("__p"))
     order = F.array_sort(F.transform(
         F.sequence(F.lit(0), F.lit(d - 1)),
         lambda j: F.struct(F.xxhash64(F.col(key), F.col("__p"), j, F.lit(seed)).alias("h"), j.alias("j"))))
-    shuffled = base_rows.withColumns({"__order": F.transform(order, lambda s: s["j"]), "__from": table[F.col("__p")]})
+    shuffled = base_rows.withColumn("__order", F.transform(order, lambda s: s["j"])).join(starts, "__p")
     steps = shuffled.select(key, "__own", "__from", "__order",
                             F.explode(F.sequence(F.lit(0), F.lit(d))).alias("__step"))
     switched = {c: F.when(F.array_position("__order", F.lit(j)) <= F.col("__step"), F.col("__own")[j])

@@ -95,13 +95,14 @@ def airport_congestion(df: DataFrame, window: int = 60, date: str = "FL_DATE", p
     """Rows of the same date and place whose clock is within ``window`` minutes, itself included.
 
     Rows are first counted per minute, so the sliding frame runs over at most one day of minutes per
-    (date, place) whatever the number of rows, and the result is joined back. NULL keys count 0.
+    (date, place) whatever the number of rows, and the result is joined back: by broadcast when it is
+    small, else by a shuffle on all three keys, where adaptive execution splits hot minutes. NULL keys count 0.
     """
     minute = t.hhmm_to_minutes(clock).cast("int")
     keys = df.select(F.col(date).alias("__d"), F.col(place).alias("__p"), minute.alias("__m"))
     per_minute = complete_rows(keys).groupBy("__d", "__p", "__m").agg(F.count("*").alias("__n"))
     frame = Window.partitionBy("__d", "__p").orderBy("__m").rangeBetween(-window, window)
-    counts = per_minute.select("__d", "__p", "__m", F.sum("__n").over(frame).alias("__near"))
+    counts = bounded(per_minute.select("__d", "__p", "__m", F.sum("__n").over(frame).alias("__near")))
     keyed = df.withColumn("__minute", minute)
     joined = keyed.join(
         counts, (F.col(date) == F.col("__d")) & (F.col(place) == F.col("__p")) & (F.col("__minute") == F.col("__m")),

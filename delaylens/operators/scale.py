@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark import StorageLevel
@@ -12,7 +13,7 @@ from ..session import checkpointed
 
 #: Largest fitted table that is sent to every executor.
 BROADCAST_ROWS = 200_000
-#: Most rows a window without a selective partition key may see.
+#: Rows per range partition a running total aims at, and most distinct values of an exact quantile's state.
 WINDOW_ROWS = 1_000_000
 
 _FRACTIONAL = (T.DoubleType, T.FloatType, T.DecimalType)
@@ -74,10 +75,28 @@ def bounded(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     At most ``max_rows + 1`` rows reach the driver. A larger table is written to the checkpoint folder
     and stays distributed: joins with it shuffle, and adaptive execution splits hot keys.
     """
-    local = table.limit(max_rows + 1).toArrow()
-    if local.num_rows <= max_rows:
-        return F.broadcast(table.sparkSession.createDataFrame(local, schema=table.schema))
-    return checkpointed(table)
+    with kept_meanwhile(table):
+        local = small_copy(table, max_rows)
+        return checkpointed(table) if local is None else F.broadcast(local)
+
+
+@contextmanager
+def kept_meanwhile(df: DataFrame):
+    """Persist ``df`` inside the block so that a size check does not evaluate it twice."""
+    mine = df.storageLevel == StorageLevel.NONE
+    if mine:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield
+    finally:
+        if mine:
+            df.unpersist()
+
+
+def small_copy(df: DataFrame, max_rows: int) -> DataFrame | None:
+    """The rows as a local table, or None when there are more than ``max_rows``."""
+    local = df.limit(max_rows + 1).toArrow()
+    return df.sparkSession.createDataFrame(local, schema=df.schema) if local.num_rows <= max_rows else None
 
 
 def running_totals(df: DataFrame, order: list[str], values: list[str], by: list[str] | None = None,
@@ -88,16 +107,15 @@ def running_totals(df: DataFrame, order: list[str], values: list[str], by: list[
     partitioned and written out; each row then adds the total of the partitions before its own.
     """
     by = by or []
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = df.count()
-    if rows <= max_window_rows:
-        window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({f"cum_{v}": F.sum(v).over(window) for v in values})
-    parts = max(2, math.ceil(4 * rows / max_window_rows))
-    ranged = checkpointed(
-        df.repartitionByRange(parts, *by, *order).withColumn("__part", F.spark_partition_id())
-    )
-    df.unpersist()
+    with kept_meanwhile(df):
+        local = small_copy(df, min(max_window_rows, BROADCAST_ROWS))
+        if local is not None:
+            window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+            return local.withColumns({f"cum_{v}": F.sum(v).over(window) for v in values})
+        parts = max(2, math.ceil(4 * df.count() / max_window_rows))
+        ranged = checkpointed(
+            df.repartitionByRange(parts, *by, *order).withColumn("__part", F.spark_partition_id())
+        )
     sums = ranged.groupBy(*by, "__part").agg(*[F.sum(v).alias(f"__sum_{v}") for v in values])
     before = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
