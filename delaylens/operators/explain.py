@@ -192,15 +192,13 @@ def shap_summary(attributions: DataFrame, n: int = 20) -> DataFrame:
 def shap_dependence(attributions: DataFrame, key: str, feature: str, interaction: str | None = None) -> DataFrame:
     """``(key, value, phi)`` of a feature, with the other feature's value beside it when asked for.
 
-    Both come from one grouping by key, not from a self-join.
+    ``key`` names one row; the two features of a row meet in a one-to-one join.
     """
-    own = F.col("feature") == feature
+    own = attributions.where(F.col("feature") == feature).select(key, "value", "phi")
     if interaction is None:
-        return attributions.where(own).select(key, "value", "phi")
-    wanted = attributions.where(F.col("feature").isin(feature, interaction))
-    return wanted.groupBy(key).agg(
-        F.max(F.when(own, F.col("value"))).alias("value"), F.max(F.when(own, F.col("phi"))).alias("phi"),
-        F.max(F.when(F.col("feature") == interaction, F.col("value"))).alias("interaction"))
+        return own
+    other = attributions.where(F.col("feature") == interaction).select(key, F.col("value").alias("interaction"))
+    return own.join(other, key, "left")
 
 
 def force_table(attributions: DataFrame, key: str, n: int = 3) -> DataFrame:
