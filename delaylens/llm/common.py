@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..sources.stores import scratch_path
 
@@ -40,3 +40,9 @@ def sent_if_small(df: DataFrame, size: Column, limit: int = BROADCAST_BYTES) ->
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def widened(df: DataFrame, **fields: str) -> T.StructType:
+    """The schema of ``df`` with more fields at its end."""
+    more = T.StructType.fromDDL(", ".join(f"`{n}` {kind}" for n, kind in fields.items()))
+    return T.StructType([*df.schema.fields, *more.fields])

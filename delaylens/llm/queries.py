@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules
+from . import line_dedup, mixing, quality_classifier, quality_rules, resharding, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,7 +17,20 @@ def _on(table: str, digest):
     return lambda spark, folder: digest(read_table(spark, folder, table))
 
 
+QUERIES["op2_warc_zstd"] = _on("pages", warc.digest)
 QUERIES["op3_mix_sources"] = _on("documents", mixing.digest)
+QUERIES["op4_line_dedup"] = _on("documents", line_dedup.digest)
 QUERIES["op5_quality_rules"] = _on("documents", quality_rules.digest)
+QUERIES["op8_reshard"] = _on("documents", resharding.digest)
+QUERIES["op10_quality_classifier"] = lambda spark, folder: quality_classifier.digest(
+    read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 CHECKS["op5_quality_rules"] = quality_rules.check_sql()
 CHECKS["op3_mix_sources"] = mixing.check_sql()
+CHECKS["op2_warc_zstd"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p WHERE strlen(h) >= 100 GROUP BY h HAVING count(*) > 1)
+SELECT page_id, strlen(p.h)::BIGINT AS payload_bytes, sha256(p.h) AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.h = f.h"""
+CHECKS["op4_line_dedup"] = line_dedup.CHECK_SQL
