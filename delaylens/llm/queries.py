@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, quality_classifier, quality_rules, resharding, warc
+from . import jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, resharding, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,7 @@ QUERIES["op2_warc_zstd"] = _on("pages", warc.digest)
 QUERIES["op3_mix_sources"] = _on("documents", mixing.digest)
 QUERIES["op4_line_dedup"] = _on("documents", line_dedup.digest)
 QUERIES["op5_quality_rules"] = _on("documents", quality_rules.digest)
+QUERIES["op6_jaccard_join"] = _on("documents", jaccard_join.digest)
 QUERIES["op8_reshard"] = _on("documents", resharding.digest)
 QUERIES["op10_quality_classifier"] = lambda spark, folder: quality_classifier.digest(
     read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
