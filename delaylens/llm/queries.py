@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, resharding, suffix_dedup, warc
+from . import jaccard_join, line_dedup, mixing, nearest, quality_classifier, quality_rules, resharding, suffix_dedup, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,7 @@ QUERIES["op5_quality_rules"] = _on("documents", quality_rules.digest)
 QUERIES["op6_jaccard_join"] = _on("documents", jaccard_join.digest)
 QUERIES["op7_suffix_dedup"] = _on("documents", suffix_dedup.digest)
 QUERIES["op8_reshard"] = _on("documents", resharding.digest)
+QUERIES["op9_nearest"] = _on("embeddings", nearest.digest)
 QUERIES["op10_quality_classifier"] = lambda spark, folder: quality_classifier.digest(
     read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 CHECKS["op5_quality_rules"] = quality_rules.check_sql()
