@@ -21,10 +21,10 @@ from .components import components
 from .textbytes import chunks, ngram_hashes, word_hashes, words
 
 N_WORDS, PERCENT = 5, 80
-#: Counters by which members are ordered from rare to frequent; sets in a task's block at once; bitmap and fan of trees.
+#: Counters by which members are ordered from rare to frequent; sets in a part of a block; largest bitmap; fan of trees.
 COUNTERS, COUNTER_BLOCK = 1 << 18, 1 << 12
 BLOCK_SETS = 256
-BITMAP_BITS, FAN = 1024, 8
+MOST_BITS, FAN = 1 << 15, 8
 
 
 # --- sets ------------------------------------------------------------------------------------------
@@ -54,6 +54,17 @@ def set_digest(members: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(hashlib.blake2b(members.tobytes(), digest_size=16).digest(), np.int64).tolist())
 
 
+def bitmap(members: np.ndarray) -> np.ndarray:
+    """At least two bits per member, up to the largest bitmap; a power of two, so that halves can be folded."""
+    width = 64
+    while width < min(MOST_BITS, 2 * len(members)):
+        width *= 2
+    p = (members >> np.uint64(24)) & np.uint64(width - 1)
+    bits = np.zeros(width, np.uint8)
+    bits[p] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
 def prefix_length(size: int, percent: int) -> int:
     """So many members of one set, rarest first, include one of every set that it links with."""
     return size - -(-percent * size // 100) + 1
@@ -72,34 +83,37 @@ class Order:
 
 
 def described(docs: DataFrame, n: int) -> DataFrame:
-    """Per row ``(doc, size, d1, d2)``, and the tasks' counters as rows with a ``block``; written once."""
+    """Per row ``(doc, size, d1, d2, bits)``, and the tasks' counters as rows with a ``block``; written once."""
     kind = docs.schema["js_doc"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
         doc_type = None
         for batch in batches:
-            size, d1, d2 = [], [], []
+            size, d1, d2, bits = [], [], [], []
             doc_type = batch.column("js_doc").type
             for members in shingle_sets(batch.column("js_text"), n):
                 size.append(len(members))
                 one, two = set_digest(members)
                 d1.append(one)
                 d2.append(two)
+                bits.append(bitmap(members).tobytes())
                 np.add.at(counts, members & np.uint64(COUNTERS - 1), 1)
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column("js_doc"), pa.array(size, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
-                 pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], ["doc", "size", "d1", "d2", "block", "counts"])
+                 pa.array(bits, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
+                ["doc", "size", "d1", "d2", "bits", "block", "counts"])
         if doc_type is not None:
             parts = counts.reshape(-1, COUNTER_BLOCK)
             k = len(parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(k, doc_type), *[pa.nulls(k, pa.int64())] * 3, pa.array(range(k), pa.int32()),
-                 pa.array([p.astype(np.uint32).tobytes() for p in parts])], ["doc", "size", "d1", "d2", "block", "counts"])
+                [pa.nulls(k, doc_type), *[pa.nulls(k, pa.int64())] * 3, pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()),
+                 pa.array([p.astype(np.uint32).tobytes() for p in parts])],
+                ["doc", "size", "d1", "d2", "bits", "block", "counts"])
 
     return written(docs.mapInArrow(
-        work, f"doc {kind}, size long, d1 long, d2 long, block int, counts binary"), "sets")
+        work, f"doc {kind}, size long, d1 long, d2 long, bits binary, block int, counts binary"), "sets")
 
 
 def member_order(rows: DataFrame) -> Broadcast:
@@ -198,15 +212,10 @@ class Tree:
     smaller excess, and so do any two sets of two nodes.
     """
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.by_size = np.argsort([len(s) for s in sets], kind="stable")
-        size = np.array([len(sets[i]) for i in self.by_size])
-        bits = np.zeros((len(sets), BITMAP_BITS // 64), np.uint64)
-        for k, i in enumerate(self.by_size):
-            p = sets[i] >> np.uint64(64 - BITMAP_BITS.bit_length() + 1)
-            np.bitwise_or.at(bits[k], p >> np.uint64(6), np.uint64(1) << (p & np.uint64(63)))
-        excess = size - np.bitwise_count(bits).sum(axis=1)
-        self.levels = [(bits, size, size, excess)]
+    def __init__(self, size: np.ndarray, bits: np.ndarray):
+        self.by_size = np.argsort(size, kind="stable")
+        size, bits = size[self.by_size], bits[self.by_size]
+        self.levels = [(bits, size, size, size - np.bitwise_count(bits).sum(axis=1))]
         while len(self.levels[-1][1]) > 1:
             bits, low, high, excess = self.levels[-1]
             at = np.arange(0, len(low), FAN)
@@ -215,14 +224,16 @@ class Tree:
 
     def _possible(self, level: int, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
         bits, low, high, excess = self.levels[level]
-        near = (100 * np.minimum(high[i], high[j]) >= percent * np.maximum(low[i], low[j]))
+        near = 100 * np.minimum(high[i], high[j]) >= percent * np.maximum(low[i], low[j])
         i, j, at = i[near], j[near], np.flatnonzero(near)
-        most = np.bitwise_count(bits[i] & bits[j]).sum(axis=1) + np.minimum(excess[i], excess[j])
+        most = np.minimum(excess[i], excess[j])
+        for lo in range(0, len(i), 8192):
+            most[lo:lo + 8192] += np.bitwise_count(bits[i[lo:lo + 8192]] & bits[j[lo:lo + 8192]]).sum(axis=1).astype(most.dtype)
         most = np.minimum(most, np.minimum(high[i], high[j]))
         return at[(100 + percent) * most >= percent * (low[i] + low[j])]
 
     def candidates(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of sets that the traversal of the tree against itself can't rule out, likeliest first."""
+        """Pairs of sets that the traversal of the tree against itself can't rule out."""
         i = j = np.zeros(1, np.int64)
         for level in range(len(self.levels) - 1, -1, -1):
             keep = self._possible(level, i, j, percent)
@@ -230,16 +241,34 @@ class Tree:
             if level:
                 n = len(self.levels[level - 1][1])
                 step = np.arange(FAN)
-                a = np.broadcast_to((i[:, None, None] * FAN + step[:, None]), (len(i), FAN, FAN)).reshape(-1)
-                b = np.broadcast_to((j[:, None, None] * FAN + step[None, :]), (len(j), FAN, FAN)).reshape(-1)
+                a = np.broadcast_to(i[:, None, None] * FAN + step[:, None], (len(i), FAN, FAN)).reshape(-1)
+                b = np.broadcast_to(j[:, None, None] * FAN + step[None, :], (len(j), FAN, FAN)).reshape(-1)
                 ok = (a <= b) & (b < n)
                 i, j = a[ok], b[ok]
         ok = i < j
-        i, j = i[ok], j[ok]
-        bits, size = self.levels[0][0], self.levels[0][1]
-        shared = np.bitwise_count(bits[i] & bits[j]).sum(axis=1)
-        order = np.argsort(-shared / (size[i] + size[j]), kind="stable")
-        return self.by_size[i[order]], self.by_size[j[order]]
+        return self.by_size[i[ok]], self.by_size[j[ok]]
+
+
+def candidates(size: np.ndarray, bits: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs of sets with bitmaps of any widths.
+
+    Sets that can link have the same width or neighbouring ones: a tree per width also holds the sets of the next,
+    their bitmaps folded to half.
+    """
+    width = np.array([len(b) for b in bits])
+    found = []
+    for w in np.unique(width):
+        own = np.flatnonzero((width == w) | (width == 2 * w))
+        if len(own) < 2:
+            continue
+        folded = np.stack([bits[i] if len(bits[i]) == w else bits[i][:w] | bits[i][w:] for i in own])
+        i, j = Tree(size[own], folded).candidates(percent)
+        i, j = own[i], own[j]
+        ok = (width[i] == w) | (width[j] == w)
+        found.append((i[ok], j[ok]))
+    if not found:
+        return (np.zeros(0, np.int64),) * 2
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -255,7 +284,7 @@ def forest(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None)
 
     A pair is compared unless links found before connect it already.
     """
-    i, j = Tree(sets).candidates(percent)
+    i, j = candidates(np.array([len(s) for s in sets]), [bitmap(s) for s in sets], percent)
     if side is not None:
         ok = side[i] != side[j]
         i, j = i[ok], j[ok]
@@ -271,43 +300,74 @@ def forest(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None)
     return links
 
 
-def block_links(rows: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)`` links from rows ``(block, sets, rep, members)``.
+def _groups(batches: Iterator[pa.RecordBatch], key: list[str], flush) -> Iterator[pa.RecordBatch]:
+    """Call ``flush(key, rows)`` for each run of rows with one key; rows are tuples of the other columns."""
+    held, current = [], None
+    for batch in batches:
+        rest = [n for n in batch.schema.names if n not in key]
+        for k, *row in zip(zip(*(batch.column(c).to_pylist() for c in key)), *(batch.column(c).to_pylist() for c in rest)):
+            if k != current:
+                if len(held) > 1:
+                    yield from flush(current, held)
+                held, current = [], k
+            held.append(row)
+    if len(held) > 1:
+        yield from flush(current, held)
+
+
+def surviving(rows: DataFrame, percent: int) -> DataFrame:
+    """``(met, first, rep, d1, d2)`` from rows ``(block, sets, size, bits, rep, d1, d2)``: the sets that have a
+    possible partner in their block, by signature trees alone.
 
     A block of more than ``BLOCK_SETS`` sets is dealt by hash into that many parts; every pair of parts is a task of
-    its own, so no task gets a large block whole.
+    its own, so no task gets a large block whole. ``met`` stands for the sets left over, so that blocks with the same
+    ones become one; ``first`` is NULL unless two parts meet, of which it tells the sides.
     """
     parts = F.ceil(F.col("sets") / F.lit(BLOCK_SETS)).cast("int")
     own = F.pmod(F.xxhash64("rep"), parts).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    dealt = dealt.select("block", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                         (F.col("own") <= F.col("other")).alias("first"), "rep", "members")
     key = ["block", "p", "q"]
+    dealt = dealt.select("block", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+                         (F.col("own") <= F.col("other")).alias("first"), "size", "bits", "rep", "d1", "d2")
     dealt = dealt.repartition(*key).sortWithinPartitions(*key)
 
-    def flush(held: list[tuple], one_part: bool) -> list[tuple[int, int]]:
-        if len(held) < 2:
-            return []
-        sets = [np.frombuffer(m, np.uint64) for _, m, _ in held]
-        side = None if one_part else np.array([f for _, _, f in held])
-        return [(held[a][0], held[b][0]) for a, b in forest(sets, percent, side)]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, current, out = [], None, []
-        for batch in batches:
-            for block, p, q, first, rep, members in zip(*(c.to_pylist() for c in batch.columns)):
-                if (block, p, q) != current:
-                    out += flush(held, current is None or current[1] == current[2])
-                    held, current = [], (block, p, q)
-                held.append((rep, members, first))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
-                out = []
-        out = flush(held, current is None or current[1] == current[2])
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
-
-    return dealt.mapInArrow(work, "a long, b long")
+    def flush(k: tuple, held: list) -> Iterator[pa.RecordBatch]:
+        first, size, bits, rep, d1, d2 = zip(*held)
+        i, j = candidates(np.array(size), [np.frombuffer(b, np.uint64) for b in bits], percent)
+        side = None
+        if k[1] != k[2]:
+            side = np.array(first)
+            ok = side[i] != side[j]
+            i, j = i[ok], j[ok]
+        left = np.unique(np.concatenate([i, j]))
+        if not len(left):
+            return
+        left = left[np.argsort([rep[x] for x in left.tolist()], kind="stable")]
+        ids = np.array([rep[x] for x in left.tolist()])
+        if side is not None:
+            side = side[left] == side[left[0]]
+        met = hashlib.blake2b(ids.tobytes() + (b"" if side is None else side.tobytes()), digest_size=16).digest()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([met] * len(left), pa.binary()), pa.nulls(len(left), pa.bool_()) if side is None else pa.array(side),
+             pa.array(ids), pa.array([d1[x] for x in left.tolist()]), pa.array([d2[x] for x in left.tolist()])],
+            ["met", "first", "rep", "d1", "d2"])
+
+    return dealt.mapInArrow(lambda batches: _groups(batches, key, flush),
+                            "met binary, first boolean, rep long, d1 long, d2 long").distinct()
+
+
+def exact_links(rows: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)`` links from rows ``(met, first, rep, members)``, as many as connect what is linked."""
+
+    def flush(k: tuple, held: list) -> Iterator[pa.RecordBatch]:
+        first, rep, members = zip(*held)
+        side = None if first[0] is None else np.array(first)
+        found = forest([np.frombuffer(m, np.uint64) for m in members], percent, side)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([rep[x] for x in ends], pa.int64()) for ends in zip(*found)], ["a", "b"])
+
+    dealt = rows.repartition("met").sortWithinPartitions("met")
+    return dealt.mapInArrow(lambda batches: _groups(batches, ["met"], flush), "a long, b long")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int = N_WORDS,
@@ -323,14 +383,17 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int
     docs = docs.select(F.col(key).cast("long").alias("js_doc"), F.col(text).alias("js_text"))
     rows = described(docs, n_words)
     order = member_order(rows)
-    slim = rows.where(F.col("block").isNull()).select("doc", "size", "d1", "d2")
+    slim = rows.where(F.col("block").isNull()).select("doc", "size", "d1", "d2", "bits")
     n_members = slim.agg(F.sum(F.col("size") * (100 - percent) / 100 + 1)).first()[0]
-    classes = slim.where("size > 0").groupBy("d1", "d2").agg(F.min("doc").alias("rep"))
-    met = memberships(docs, n_words, percent, order, int(n_members or 1))
-    met = written(met.join(classes.where(F.col("rep").isNotNull()), ["d1", "d2"]), "memberships")
-    wanted = met.select("d1", "d2").distinct()
-    members = written(members_of(docs, wanted, n_words, met.count()), "members")
-    links = written(block_links(met.join(members, ["d1", "d2"]).select("block", "sets", "rep", "members"), percent), "links")
+    classes = slim.where("size > 0").groupBy("d1", "d2").agg(
+        F.min("doc").alias("rep"), F.first("size").alias("size"), F.first("bits").alias("bits"))
+    blocks = memberships(docs, n_words, percent, order, int(n_members or 1))
+    met = surviving(blocks.join(classes.where(F.col("rep").isNotNull()), ["d1", "d2"]), percent)
+    met = written(met, "memberships")
+    members = written(members_of(docs, met.select("d1", "d2").distinct(), n_words, met.count()), "members")
+    links = exact_links(met.join(members, ["d1", "d2"]).select("met", "first", "rep", "members"), percent)
+    links = written(links, "links")
+    slim, classes = slim.drop("bits"), classes.select("d1", "d2", "rep")
     found = components(links).withColumnRenamed("component", "root")
     classes = classes.join(found, F.col("rep") == F.col("node"), "left").select(
         F.col("d1").alias("c1"), F.col("d2").alias("c2"), "rep", F.coalesce("root", "rep").alias("component"))
