@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..sources.stores import scratch_path
@@ -46,3 +49,10 @@ def widened(df: DataFrame, **fields: str) -> T.StructType:
     """The schema of ``df`` with more fields at its end."""
     more = T.StructType.fromDDL(", ".join(f"`{n}` {kind}" for n, kind in fields.items()))
     return T.StructType([*df.schema.fields, *more.fields])
+
+
+def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts in ``column`` have about ``limit`` bytes, so that copies of them stay small."""
+    rows = max(1, int(batch.num_rows * limit / max(1, batch.column(column).nbytes)))
+    for first in range(0, batch.num_rows, rows):
+        yield batch.slice(first, rows)

@@ -12,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from . import bloom
-from .common import widened, written
+from .common import slices, widened, written
 
 STRIPPED = b" \t\n\x0b\x0c\r"
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -60,7 +60,7 @@ def repeated_keys(rows: DataFrame, twice: Broadcast, min_chars: int, min_docs: i
     kind = rows.schema["ld_doc"].dataType
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "ld_text")):
             docs, keys = [], []
             for at, own in enumerate(_suspects(batch.column("ld_text").to_pylist(), twice.value, min_chars)):
                 own = {d for _, d in own}
@@ -101,7 +101,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", mi
     names = docs.columns
 
     def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "ld_text")):
             texts, ids = batch.column("ld_text").to_pylist(), batch.column("ld_doc").to_pylist()
             own = batch.column("ld_gone").to_pylist() if sent is None else None
             new, lines, dropped = [], [], []

@@ -22,12 +22,12 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from . import bloom
-from .common import sent_if_small, widened, written
+from .common import slices, widened, written
 from .textbytes import chunks, mix64
 
 LENGTH, GRAM = 400, 32
 #: Bytes of a long text worked on at once, of suffixes sorted in one run, and of text per range of the merge.
-PIECE, RUN_BYTES, RANGE_BYTES = 1 << 22, 24 << 20, 16 << 20
+PIECE, RUN_BYTES, RANGE_BYTES = 1 << 22, 12 << 20, 16 << 20
 #: Distinct spans of a group up to which pairs are compared; larger groups are swept by distance.
 PAIRWISE = 12
 
@@ -241,7 +241,13 @@ _FOUND = pa.schema([("range", pa.int32()), ("run", pa.binary()), ("text", pa.bin
 
 
 def _batch(runs: list[tuple[int, bytes]], covered: set[tuple[bytes, int, int]]) -> pa.RecordBatch:
-    rows = [(r, b, None, None, None) for r, b in runs] + [(int(t[0]) | -65536, None, t, a, z) for t, a, z in sorted(covered)]
+    joined: list[list] = []
+    for t, a, z in sorted(covered):
+        if joined and joined[-1][0] == t and a <= joined[-1][2]:
+            joined[-1][2] = max(z, joined[-1][2])
+        else:
+            joined.append([t, a, z])
+    rows = [(r, b, None, None, None) for r, b in runs] + [(t[0] - 65536, None, t, a, z) for t, a, z in joined]
     return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), _FOUND)], schema=_FOUND)
 
 
@@ -327,7 +333,8 @@ def covered_parts(runs: DataFrame, length: int, ranges: int) -> DataFrame:
             if rest.num_rows:
                 yield rest
             own = batch.filter(is_run)
-            for which, blob in zip(own.column("range").to_pylist(), own.column("run").to_pylist()):
+            for which, run in zip(own.column("range").to_pylist(), own.column("run")):
+                blob = run.as_py()
                 if which != current:
                     yield from merge(held)
                     held, current = [], which
@@ -359,12 +366,12 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -
     parts = parts.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("sx_parts"))
     parts = written(parts.withColumnRenamed("text", "sx_covered"), "covered")
     rows = docs.withColumn("sx_id", F.unhex(F.md5(F.col(text)))).join(
-        sent_if_small(parts, F.size("sx_parts") * 16 + 64), F.col("sx_id") == F.col("sx_covered"), "left")
+        parts, F.col("sx_id") == F.col("sx_covered"), "left")
     rows = rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(text).cast("binary").alias("sx_text"), "sx_parts")
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "sx_text")):
             sizes, removed, spans, kept = [], [], [], []
             for raw, own in zip(batch.column("sx_text").to_pylist(), batch.column("sx_parts").to_pylist()):
                 raw, out, at, gone, runs = raw or b"", [], 0, 0, 0

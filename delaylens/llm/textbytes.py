@@ -42,9 +42,9 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first, last, bytes, offsets)`` of runs of texts; NULL is empty. ``offsets`` start at 0."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
+    column = column.cast(pa.large_string())
+    if column.null_count:
+        column = pc.fill_null(column, "")
     if not len(column):
         return
     buffers = column.buffers()
