@@ -38,9 +38,9 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, share: float = 1.5, most
         "open_w": F.sum("w").over(everywhere) - F.coalesce(F.sum("w").over(before), F.lit(0.0)),
     })
     level = (F.col("budget") - F.col("full")) / F.col("open_w")
-    # the level is valid at the first source that it doesn't cap
+    # the level is that of the first source which isn't capped at its own; the levels of later ones are lower
     rows = rows.withColumn("level", F.when(level <= F.col("capped_at"), level))
-    rows = rows.withColumn("level", F.min("level").over(everywhere))
+    rows = rows.withColumn("level", F.max("level").over(everywhere))
     target = F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("level") * F.col("w")))
     return rows.select("source", "source_size", target.alias("target"))
 
@@ -135,7 +135,7 @@ o AS (SELECT *, cap / w AS capped_at FROM w),
 b AS (SELECT *, {share}::DOUBLE * sum(source_size) OVER () AS budget,
         coalesce(sum(cap) OVER u, 0) AS full_, sum(w) OVER () - coalesce(sum(w) OVER u, 0) AS open_w FROM o
         WINDOW u AS (ORDER BY capped_at, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-l AS (SELECT min((budget - full_) / open_w) AS level FROM b WHERE (budget - full_) / open_w <= capped_at),
+l AS (SELECT max((budget - full_) / open_w) AS level FROM b WHERE (budget - full_) / open_w <= capped_at),
 t AS (SELECT source, source_size, CASE WHEN level IS NULL THEN cap ELSE least(cap, level * w) END AS target FROM b, l),
 r AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS rounds FROM t),
 n AS (SELECT *, target - rounds * source_size AS need FROM r),

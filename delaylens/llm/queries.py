@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, line_dedup, mixing, nearest, quality_classifier, quality_rules, resharding, suffix_dedup, warc
+import corpus_pipeline
+
+from . import jaccard_join, line_dedup, mixing, nearest, piece_sampling, quality_classifier, quality_rules, resharding, suffix_dedup, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +19,7 @@ def _on(table: str, digest):
     return lambda spark, folder: digest(read_table(spark, folder, table))
 
 
+QUERIES["op1_piece_sampling"] = _on("documents", piece_sampling.digest)
 QUERIES["op2_warc_zstd"] = _on("pages", warc.digest)
 QUERIES["op3_mix_sources"] = _on("documents", mixing.digest)
 QUERIES["op4_line_dedup"] = _on("documents", line_dedup.digest)
@@ -27,6 +30,7 @@ QUERIES["op8_reshard"] = _on("documents", resharding.digest)
 QUERIES["op9_nearest"] = _on("embeddings", nearest.digest)
 QUERIES["op10_quality_classifier"] = lambda spark, folder: quality_classifier.digest(
     read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+QUERIES["pipeline"] = corpus_pipeline.run
 CHECKS["op5_quality_rules"] = quality_rules.check_sql()
 CHECKS["op3_mix_sources"] = mixing.check_sql()
 CHECKS["op2_warc_zstd"] = """
