@@ -82,8 +82,10 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", mi
     A line's key is the line without white space at its ends, A-Z lower-cased. A key of at least ``min_chars`` code
     points that ``min_docs`` or more documents hold loses all its lines, except in the document with the largest
     ``key``. Rows with equal keys count as one document, and so do all rows with a NULL key, which come last. A NULL
-    text counts as one line and stays NULL. Extra columns pass through.
+    text counts as one line and stays NULL. Extra columns pass through, except that those whose names begin with
+    ``ld_`` are replaced. An empty table stays empty.
     """
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if not c.startswith("ld_")])
     # what the tasks need goes under own names, so that columns of docs can't clash
     slim = docs.select(F.col(key).alias("ld_doc"), F.col(text).cast("binary").alias("ld_text"))
     twice = suspected_filter(slim, min_chars)

@@ -86,8 +86,9 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
     A NULL text has size 0, a NULL source is a source of its own, ordered last. Rows equal in key and text share a
     hash and are taken together. ``mix_times`` depends on contents only, so reruns agree. No row is taken more than
-    ceil(``most``) times.
+    ceil(``most``) times. Columns whose names begin with ``mix_`` are replaced, others pass through.
     """
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if not c.startswith("mix_")])
     columns = [F.col(f"`{c}`") for c in docs.columns]
     sized = docs.select(*columns, F.size(words_of(F.col(text))).cast("long").alias("mix_size"),
                         row_hash(docs, key, text).alias("mix_hash"))

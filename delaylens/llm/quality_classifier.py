@@ -148,7 +148,9 @@ def _delta(own, start) -> pa.RecordBatch:
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with the probability of label 1 in ``out``. A NULL or empty text gets the bias alone."""
+    """``docs`` with the probability of label 1 in ``out``, in place of a column of that name. A NULL or empty text
+    gets the bias alone; repeated rows score alike, an empty table stays empty."""
+    docs = docs.drop(out)
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -143,6 +143,7 @@ def plan_transfers(rows: DataFrame, shards: int, capacities: list[float] | None
 
 def blocked(docs: DataFrame, old: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Add ``rs_old``, ``rs_block``, ``rs_part``, ``rs_bytes``. A NULL text has no bytes; each row counts one more.
+    Columns with those names, and later ``shard`` and ``slot``, are replaced; others pass through.
 
     Equal texts of an old shard share a block, and so stay together unless their block has to be split.
     """
@@ -163,7 +164,7 @@ def assigned(rows: DataFrame, plan: Plan, out: str = "shard") -> DataFrame:
     for o, b in plan.split:
         test = test | ((F.col("rs_old") == o) & (F.col("rs_block") == b))
     part = F.when(test, F.col("rs_part")).otherwise(F.lit(-1))
-    joined = rows.join(F.broadcast(table), (F.col("rs_old") == F.col("rs_o")) & (F.col("rs_block") == F.col("rs_b"))
+    joined = rows.drop(out).join(F.broadcast(table), (F.col("rs_old") == F.col("rs_o")) & (F.col("rs_block") == F.col("rs_b"))
                        & (part == F.col("rs_p")))
     return joined.drop("rs_o", "rs_b", "rs_p")
 
@@ -176,14 +177,14 @@ def with_slots(rows: DataFrame, n_rows: int, order: list[str], shard: str = "sha
     """
     parts = max(1, n_rows // SLOT_ROWS) * 4
     dealt = rows.withColumn("rs_slot_part", F.pmod(F.xxhash64(*order, F.lit("slot")), F.lit(parts)).cast("int"))
-    before = Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy(F.col(shard).alias("s"), F.col("rs_slot_part").alias("p")).agg(F.count("*").alias("n"))
-    starts = starts.select("s", "p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rs_start"))
+    before = Window.partitionBy("rs_s").orderBy("rs_p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(F.col(shard).alias("rs_s"), F.col("rs_slot_part").alias("rs_p")).agg(F.count("*").alias("rs_n"))
+    starts = starts.select("rs_s", "rs_p", F.coalesce(F.sum("rs_n").over(before), F.lit(0)).alias("rs_start"))
     own = F.row_number().over(Window.partitionBy(shard, "rs_slot_part").orderBy(*order))
     joined = dealt.withColumn("rs_own", own).join(
-        starts, (F.col(shard) == F.col("s")) & (F.col("rs_slot_part") == F.col("p")))
+        starts, (F.col(shard) == F.col("rs_s")) & (F.col("rs_slot_part") == F.col("rs_p")))
     return joined.withColumn(out, F.col("rs_start") + F.col("rs_own") - 1).drop(
-        "s", "p", "rs_start", "rs_own", "rs_slot_part")
+        "rs_s", "rs_p", "rs_start", "rs_own", "rs_slot_part")
 
 
 def rewrite(spark: SparkSession, source: str, target: str, plan: Plan, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -350,9 +350,10 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -
 
     Removed is each byte of a UTF-8 text inside a string of ``length`` bytes that also starts elsewhere, in the same
     or another row; matches overlap but don't cross rows, and are judged on the input. A NULL text is empty. Repeated
-    rows remove each other, texts shorter than ``length`` lose nothing; extra columns pass through. ``sx_kept`` is
-    binary, since a cut may fall inside a character.
+    rows remove each other, texts shorter than ``length`` lose nothing. ``sx_kept`` is binary, since a cut may fall
+    inside a character. Extra columns pass through, except that those whose names begin with ``sx_`` are replaced.
     """
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if not c.startswith("sx_")])
     slim = docs.select(F.col(text).alias("sx_text"), F.unhex(F.md5(F.col(text))).alias("sx_id"))
     n = slim.agg(F.sum(F.octet_length("sx_text")).alias("n")).first()["n"] or 0
 
