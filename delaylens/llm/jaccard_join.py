@@ -23,7 +23,7 @@ from .textbytes import chunks, ngram_hashes, word_hashes, words
 N_WORDS, PERCENT = 5, 80
 #: Counters by which members are ordered from rare to frequent; sets in a part of a block; largest bitmap; fan of trees.
 COUNTERS, COUNTER_BLOCK = 1 << 18, 1 << 12
-BLOCK_SETS = 256
+BLOCK_SETS = 1024
 MOST_BITS, FAN = 1 << 15, 8
 
 
@@ -315,59 +315,64 @@ def _groups(batches: Iterator[pa.RecordBatch], key: list[str], flush) -> Iterato
         yield from flush(current, held)
 
 
-def surviving(rows: DataFrame, percent: int) -> DataFrame:
-    """``(met, first, rep, d1, d2)`` from rows ``(block, sets, size, bits, rep, d1, d2)``: the sets that have a
-    possible partner in their block, by signature trees alone.
+def dealt(rows: DataFrame, group: str, *columns: str) -> DataFrame:
+    """Rows by ``(group, p, q)`` for tasks that compare the sets of a group, in order of that key.
 
-    A block of more than ``BLOCK_SETS`` sets is dealt by hash into that many parts; every pair of parts is a task of
-    its own, so no task gets a large block whole. ``met`` stands for the sets left over, so that blocks with the same
-    ones become one; ``first`` is NULL unless two parts meet, of which it tells the sides.
+    A group of more than ``BLOCK_SETS`` sets (column ``sets``) is dealt by hash into that many parts; every pair of
+    parts is a task of its own, so no task gets a large group whole. ``first`` tells the sides of such a pair.
     """
     parts = F.ceil(F.col("sets") / F.lit(BLOCK_SETS)).cast("int")
     own = F.pmod(F.xxhash64("rep"), parts).cast("int")
-    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    key = ["block", "p", "q"]
-    dealt = dealt.select("block", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                         (F.col("own") <= F.col("other")).alias("first"), "size", "bits", "rep", "d1", "d2")
-    dealt = dealt.repartition(*key).sortWithinPartitions(*key)
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    rows = rows.select(group, F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+                       (F.col("own") <= F.col("other")).alias("first"), "rep", *columns)
+    return rows.repartition(group, "p", "q").sortWithinPartitions(group, "p", "q")
+
+
+def _sides(k: tuple, first: tuple) -> np.ndarray | None:
+    return None if k[1] == k[2] else np.array(first)
+
+
+def _edges(a, b) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def possible_links(rows: DataFrame, percent: int) -> DataFrame:
+    """Edges ``(a, b)`` that connect all sets with a possible link, from rows ``(block, sets, size, bits, rep)``, by
+    signature trees alone."""
 
     def flush(k: tuple, held: list) -> Iterator[pa.RecordBatch]:
-        first, size, bits, rep, d1, d2 = zip(*held)
+        first, rep, size, bits = zip(*held)
         i, j = candidates(np.array(size), [np.frombuffer(b, np.uint64) for b in bits], percent)
-        side = None
-        if k[1] != k[2]:
-            side = np.array(first)
+        if (side := _sides(k, first)) is not None:
             ok = side[i] != side[j]
             i, j = i[ok], j[ok]
-        left = np.unique(np.concatenate([i, j]))
-        if not len(left):
-            return
-        left = left[np.argsort([rep[x] for x in left.tolist()], kind="stable")]
-        ids = np.array([rep[x] for x in left.tolist()])
-        if side is not None:
-            side = side[left] == side[left[0]]
-        met = hashlib.blake2b(ids.tobytes() + (b"" if side is None else side.tobytes()), digest_size=16).digest()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([met] * len(left), pa.binary()), pa.nulls(len(left), pa.bool_()) if side is None else pa.array(side),
-             pa.array(ids), pa.array([d1[x] for x in left.tolist()]), pa.array([d2[x] for x in left.tolist()])],
-            ["met", "first", "rep", "d1", "d2"])
-
-    return dealt.mapInArrow(lambda batches: _groups(batches, key, flush),
-                            "met binary, first boolean, rep long, d1 long, d2 long").distinct()
+        root = np.arange(len(held))
+        while len(i) and (root[i] != root[j]).any():
+            least = np.minimum(root[i], root[j])
+            np.minimum.at(root, i, least)
+            np.minimum.at(root, j, least)
+            root = root[root]
+        moved = np.flatnonzero(root != np.arange(len(held)))
+        if len(moved):
+            rep = np.array(rep)
+            yield _edges(rep[root[moved]], rep[moved])
+
+    return dealt(rows, "block", "size", "bits").mapInArrow(
+        lambda batches: _groups(batches, ["block", "p", "q"], flush), "a long, b long").distinct()
 
 
 def exact_links(rows: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)`` links from rows ``(met, first, rep, members)``, as many as connect what is linked."""
+    """``(a, b)`` links from rows ``(family, sets, rep, members)``, as many as connect what is linked."""
 
     def flush(k: tuple, held: list) -> Iterator[pa.RecordBatch]:
         first, rep, members = zip(*held)
-        side = None if first[0] is None else np.array(first)
-        found = forest([np.frombuffer(m, np.uint64) for m in members], percent, side)
+        found = forest([np.frombuffer(m, np.uint64) for m in members], percent, _sides(k, first))
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array([rep[x] for x in ends], pa.int64()) for ends in zip(*found)], ["a", "b"])
+            yield _edges(*([rep[x] for x in ends] for ends in zip(*found)))
 
-    dealt = rows.repartition("met").sortWithinPartitions("met")
-    return dealt.mapInArrow(lambda batches: _groups(batches, ["met"], flush), "a long, b long")
+    return dealt(rows, "family", "members").mapInArrow(
+        lambda batches: _groups(batches, ["family", "p", "q"], flush), "a long, b long")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int = N_WORDS,
@@ -387,11 +392,15 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int
     n_members = slim.agg(F.sum(F.col("size") * (100 - percent) / 100 + 1)).first()[0]
     classes = slim.where("size > 0").groupBy("d1", "d2").agg(
         F.min("doc").alias("rep"), F.first("size").alias("size"), F.first("bits").alias("bits"))
+    classes = written(classes.where(F.col("rep").isNotNull()), "classes")
     blocks = memberships(docs, n_words, percent, order, int(n_members or 1))
-    met = surviving(blocks.join(classes.where(F.col("rep").isNotNull()), ["d1", "d2"]), percent)
-    met = written(met, "memberships")
-    members = written(members_of(docs, met.select("d1", "d2").distinct(), n_words, met.count()), "members")
-    links = exact_links(met.join(members, ["d1", "d2"]).select("met", "first", "rep", "members"), percent)
+    possible = written(possible_links(blocks.join(classes, ["d1", "d2"]), percent), "possible")
+    # sets that possible links connect are compared as one family, so each set is sent once
+    families = written(components(possible).withColumnRenamed("component", "family"), "families")
+    wanted = families.join(classes, F.col("node") == F.col("rep")).select("d1", "d2", "rep", "family")
+    wanted = written(wanted.join(families.groupBy("family").agg(F.count("*").alias("sets")), "family"), "wanted")
+    members = members_of(docs, wanted.select("d1", "d2"), n_words, wanted.count())
+    links = exact_links(wanted.join(members, ["d1", "d2"]).select("family", "sets", "rep", "members"), percent)
     links = written(links, "links")
     slim, classes = slim.drop("bits"), classes.select("d1", "d2", "rep")
     found = components(links).withColumnRenamed("component", "root")
