@@ -26,8 +26,9 @@ from .common import slices, widened, written
 from .textbytes import chunks, mix64
 
 LENGTH, GRAM = 400, 32
-#: Bytes of a long text worked on at once, of suffixes sorted in one run, and of text per range of the merge.
-PIECE, RUN_BYTES, RANGE_BYTES = 1 << 22, 12 << 20, 16 << 20
+#: Bytes of a long text worked on at once, of suffixes sorted in one run, of text per range of the merge, and ranges
+#: per task. The part of a run in one range is a row, so that rows stay small.
+PIECE, RUN_BYTES, RANGE_BYTES, RANGES_PER_TASK = 1 << 22, 8 << 20, 4 << 20, 4
 #: Distinct spans of a group up to which pairs are compared; larger groups are swept by distance.
 PAIRWISE = 12
 
@@ -278,8 +279,8 @@ def sorted_runs(docs: DataFrame, length: int, twice: Broadcast, ranges: int) ->
             at = end
         if run:
             runs.append((current, encode(run)))
-        if runs:
-            yield _batch(runs, covered)
+        for first in range(0, len(runs), 32):
+            yield _batch(runs[first:first + 32], covered if not first else set())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, size = [], 0
@@ -341,7 +342,7 @@ def covered_parts(runs: DataFrame, length: int, ranges: int) -> DataFrame:
                 held.append(blob)
         yield from merge(held)
 
-    dealt = runs.repartition(ranges, "range").sortWithinPartitions("range")
+    dealt = runs.repartition(max(12, ranges // RANGES_PER_TASK), "range").sortWithinPartitions("range")
     return dealt.mapInArrow(work, FOUND).select("text", "start", "stop").distinct()
 
 
