@@ -1,0 +1,382 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names; forced large-data paths."""
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+
+from delaylens.llm import (bloom, jaccard_join, line_dedup, mixing, nearest, piece_sampling, quality_classifier,
+                           quality_rules, resharding, suffix_dedup, warc)
+from delaylens.llm.components import components
+
+from test_checks import link_components, removed_bytes
+
+SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, n int, size string, h string, "
+          "doc string, block int, rank int, key string, score string, s int, p int, shard string, members string")
+LONG = "word and " * 3000 + "x" * 5000
+LINE = "A line that many of these documents have in common."
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    texts = ["", None, LONG, LONG, " \t\n\r", f"{LINE}\none", f"  {LINE.upper()}\t\ntwo\n{LINE}", f"{LINE}\n{LINE}",
+             f"three\n{LINE}", f"{LINE}", "é ß \U0001f600 の", "a b c", "a b c", "A B c"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(2, LONG), (None, LONG), (None, "only here and without a key")]
+    more = [("en", None if i is None or i % 3 == 0 else f"s{i % 3}", 1, 7, "a", "b", "c", 1, 2, "k", "v", 1, 2, "x", "m")
+            for i, _ in rows]
+    return spark.createDataFrame([(*a, *b) for a, b in zip(rows, more)], SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.limit(0)
+
+
+def test_quality_rules_on_odd_rows(docs, empty):
+    rows = quality_rules.judged(docs)
+    assert rows.count() == docs.count() and quality_rules.judged(empty).isEmpty()
+    by = {(r.doc_id, r.text): r for r in rows.collect()}
+    assert by[1, None]["__n_words"] == 0 and by[1, None]["__base_failed"]
+    assert by[2, LONG]["__n_words"] == 6001 and by[2, LONG]["__n_repeat_words"] == 6000 and not by[2, LONG]["__kept"]
+    assert quality_rules.keep_good(docs).columns == docs.columns
+
+
+def test_a_rule_table_of_ones_own(spark):
+    words = " ".join(f"w{i} the" for i in range(40))
+    rows = spark.createDataFrame([(1, words), (2, words + " ###" * 30)], "doc_id long, text string")
+    rule = (quality_rules.Rule("signs", "symbol_ratio", None, 0.2),)
+    verdict = {r.doc_id: r["__failed_rules"] for r in quality_rules.judged(rows, rules=rule).collect()}
+    assert verdict == {1: [], 2: ["signs"]}
+
+
+def test_mixing_on_odd_rows(docs, empty):
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == docs.count() and mixing.mix(empty).isEmpty()
+    assert all(0 <= r.mix_times <= 2 for r in rows)
+    sizes = {(r.doc_id, r.text): r.mix_size for r in rows}
+    assert sizes[1, None] == 0 and sizes[2, LONG] == 6001
+    again = mixing.mix(docs.repartition(7)).collect()
+    key = lambda r: (str(r.doc_id), str(r.text), r.mix_times, r.mix_target)
+    assert sorted(map(key, rows)) == sorted(map(key, again))
+    assert mixing.mixed(docs).columns == docs.columns
+
+
+@pytest.mark.parametrize("sizes", [[5, 5, 5], [1, 1000, 10, 0], [100, 1, 1, 1, 1, 1, 7], [0, 0], [3]])
+def test_targets_equal_repeated_resharing(spark, sizes):
+    names = [f"s{i}" for i in range(len(sizes) - 1)] + [None]
+    table = spark.createDataFrame(list(zip(names, sizes)), "source string, source_size long")
+    got = {r.source: r.target for r in mixing.source_targets(table).collect()}
+    weights, capped = [mixing.WEIGHTS[i % 3] for i in range(len(sizes))], set()
+    while True:
+        left = 1.5 * sum(sizes) - sum(2 * sizes[i] for i in capped)
+        open_w = sum(w for i, w in enumerate(weights) if i not in capped)
+        target = [2 * s if i in capped else left * w / open_w for i, (s, w) in enumerate(zip(sizes, weights))]
+        new = {i for i, t in enumerate(target) if i not in capped and t > 2 * sizes[i]}
+        if not new:
+            break
+        capped |= new
+    assert all(math.isclose(got[n], t, abs_tol=1e-9) for n, t in zip(names, target))
+
+
+@pytest.mark.parametrize("sent_keys", [0, 1000])
+def test_line_dedup_on_odd_rows(docs, empty, sent_keys):
+    rows = line_dedup.without_repeats(docs, sent_keys=sent_keys)
+    assert rows.columns == [*docs.columns, "ld_lines", "ld_dropped"]
+    by = {(r.doc_id, r.ld_lines, r.ld_dropped): r.text for r in rows.collect()}
+    assert rows.count() == docs.count()
+    assert by[1, 1, 0] is None and by[0, 1, 0] == "" and by[2, 1, 0] == LONG
+    assert by[5, 2, 1] == "one" and by[6, 3, 2] == "two" and by[7, 2, 2] == "" and by[8, 2, 1] == "three"
+    assert by[9, 1, 0] == LINE  # the largest key that holds it
+    if sent_keys:
+        assert line_dedup.without_repeats(empty).isEmpty()
+
+
+def test_bloom_filter_finds_all_repeats_even_when_full(spark):
+    values = np.arange(5000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    rows = spark.createDataFrame([(int(v),) for v in np.concatenate([values, values[:50]]).view(np.int64)], "v long").repartition(5)
+    hashes = lambda batch: iter([batch.column(0).to_numpy().view(np.uint64)])
+    found = bloom.build(rows, hashes, 5000).value
+    assert found.hits(values[:50]).all() and found.hits(values[50:]).mean() < 0.01
+    once = bloom.build(rows, hashes, 5000, at_least=1).value
+    assert once.hits(values).all()
+    full = bloom.build(rows, hashes, 5000, most_bits=1 << 16).value
+    assert full.hits(values[:50]).all()
+
+
+def test_jaccard_on_odd_rows(docs, empty):
+    rows, _ = jaccard_join.join(docs)
+    found = {(r.doc, r.size): r.component for r in rows.collect()}
+    assert found[0, 0] == 0 and found[1, 0] == 1 and found[4, 0] == 4
+    assert found[2, 6] == 2 and found[3, 6] == 2 and found[None, 6] == 2  # a copy without a key
+    assert found[None, 2] is None
+    assert found[12, 1] == 11 and found[13, 1] == 11
+    kept = jaccard_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.where("doc_id IN (2, 3, 11, 12, 13)").collect()) == [2, 2, 11]
+    rows, links = jaccard_join.join(empty)
+    assert rows.isEmpty() and links.isEmpty()
+
+
+def test_jaccard_splits_large_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for d in range(60):
+        own = list(base)
+        for i in rng.integers(0, 120, rng.integers(0, 9)):
+            own[i] = f"x{d}_{i}"
+        texts.append((d, " ".join(own[:rng.integers(100, 121)])))
+    rows = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    expected = link_components(texts, 5, 80)
+    for block_sets in (256, 8):
+        monkeypatch.setattr(jaccard_join, "BLOCK_SETS", block_sets)
+        got = {r.doc: (r.size, r.component) for r in jaccard_join.join(rows)[0].collect()}
+        assert got == expected
+    assert len({c for _, c in expected.values()}) < 60
+
+
+def test_tree_never_rules_out_a_link():
+    rng = np.random.default_rng(4)
+    sets = []
+    for _ in range(80):
+        base = rng.integers(0, 1 << 63, rng.integers(2, 400), dtype=np.uint64)
+        sets += [np.unique(base), np.unique(np.append(base[: int(len(base) * 0.95)], rng.integers(0, 1 << 63, 2, dtype=np.uint64)))]
+    pairs = set(zip(*(x.tolist() for x in jaccard_join.candidates(
+        np.array([len(s) for s in sets]), [jaccard_join.bitmap(s) for s in sets], 80))))
+    pairs = {tuple(sorted(p)) for p in pairs}
+    links = {(i, j) for j in range(len(sets)) for i in range(j) if jaccard_join.linked(sets[i], sets[j], 80)}
+    assert links and links <= pairs and len(pairs) < len(sets) ** 2 / 8
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200), (300, 299)]
+    rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    found = {r.node: r.component for r in rows}
+    assert len(rows) == len(found)
+    assert {found[i] for i in range(41)} == {0} and {found[i] for i in range(100, 130)} == {100}
+    assert found[300] == 299 and 200 not in found
+    assert components(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
+def test_suffix_dedup_on_odd_rows(docs, empty):
+    rows = suffix_dedup.without_repeats(docs)
+    assert rows.columns == [*docs.columns, "sx_bytes", "sx_removed", "sx_spans", "sx_kept"]
+    by = {(r.doc_id, r.sx_bytes): r for r in rows.collect()}
+    assert by[1, 0].sx_removed == 0 and bytes(by[1, 0].sx_kept) == b""
+    assert by[2, len(LONG)].sx_removed == len(LONG) and by[2, len(LONG)].sx_spans == 1
+    assert suffix_dedup.without_repeats(empty).isEmpty()
+
+
+@pytest.mark.parametrize("pairwise, piece", [(12, 1 << 22), (1, 700)])
+def test_suffix_dedup_equals_brute_force(spark, monkeypatch, pairwise, piece):
+    monkeypatch.setattr(suffix_dedup, "PAIRWISE", pairwise)
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    monkeypatch.setattr(suffix_dedup, "chunks", lambda c: __import__(
+        "delaylens.llm.textbytes", fromlist=["chunks"]).chunks(c, 900))
+    rng = np.random.default_rng(5)
+    text = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 20, n))
+    shared = [text(n) for n in (64, 70, 90, 130, 300)]
+    texts = [text(rng.integers(0, 200)) + shared[i % 5][: rng.integers(50, 301)] + text(rng.integers(0, 150))
+             + shared[rng.integers(0, 5)] for i in range(60)] + ["ab" * 400, shared[4], shared[4]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r for r in suffix_dedup.without_repeats(rows, length=64).collect()}
+    raw = [t.encode() for t in texts]
+    for d, (t, gone) in enumerate(zip(raw, removed_bytes(raw, 64))):
+        assert bytes(got[d].sx_kept) == np.frombuffer(t, np.uint8)[~gone].tobytes(), d
+        assert got[d].sx_removed == gone.sum()
+        assert got[d].sx_spans == (np.diff(np.append(False, gone).astype(int)) == 1).sum()
+
+
+def test_loser_tree_merges_and_knows_what_is_shared():
+    rng = np.random.default_rng(6)
+    runs = [sorted(bytes(rng.integers(97, 100, rng.integers(1, 12))) for _ in range(n)) for n in (0, 1, 7, 30, 30)]
+    coded = [suffix_dedup.encode([(k, b"", False, b"\0" * 16, 0) for k in run]) for run in runs]
+    merged = list(suffix_dedup.LoserTree([suffix_dedup.decode(c) for c in coded]))
+    keys = [m[1] for m in merged]
+    assert keys == sorted(k for run in runs for k in run)
+    assert [m[0] for m in merged[1:]] == [suffix_dedup.shared(a, b) for a, b in zip(keys, keys[1:])]
+
+
+def test_resharding_on_odd_rows(docs, empty):
+    for rows, n in ((docs, docs.count()), (empty, 0)):
+        blocked = resharding.blocked(rows, F.pmod(F.xxhash64("text"), F.lit(3)))
+        plan = resharding.plan_transfers(blocked.select(*[F.col(f"rs_{c}").alias(c) for c in ("old", "block", "part", "bytes")]), 4)
+        placed = resharding.with_slots(resharding.assigned(blocked, plan), plan.rows, ["doc_id", "rs_bytes"]).collect()
+        assert len(placed) == n
+        for j in {r.shard for r in placed}:
+            assert sorted(r.slot for r in placed if r.shard == j) == list(range(sum(r.shard == j for r in placed)))
+
+
+def test_cheapest_flow_against_all_plans():
+    flow = resharding.cheapest_flow([7, 2], [3.0, 3.0, 3.0], lambda i, j: [[0, 4, 1], [9, 1, 3]][i][j])
+    ship = {(i, j): flow.get((i, j), 0.0) for i in range(2) for j in range(3)}
+    assert [sum(ship[i, j] for j in range(3)) for i in range(2)] == [7, 2]
+    cost = sum(f * [[0, 4, 1], [9, 1, 3]][i][j] for (i, j), f in ship.items())
+    plans = [4 * (7 - a - c) + c + 9 * d + e + 3 * (2 - d - e) for a in range(4) for c in range(4) for d in range(3)
+             for e in range(3 - d) if 0 <= 7 - a - c <= 3 - e and a + d <= 3 and c + 2 - d - e <= 3]
+    assert cost == min(plans)
+
+
+def test_rewrite_touches_affected_files_only(spark, tmp_path):
+    texts = [(i, f"text {i} " * (30 if i % 3 == 0 else 1), i % 3) for i in range(300)]
+    old = str(tmp_path / "old")
+    spark.createDataFrame(texts, "doc_id long, text string, shard int").write.partitionBy("shard").parquet(old)
+    rows = resharding.blocked(spark.read.parquet(old), F.col("shard"))
+    rows = rows.select(*[F.col(f"rs_{c}").alias(c) for c in ("old", "block", "part", "bytes")])
+    capacities = [rows.where(f"old = {k}").agg(F.sum("bytes")).first()[0] for k in range(3)]
+    plan = resharding.plan_transfers(rows, 3, [capacities[0] / 2, capacities[1] + capacities[0] / 2, capacities[2]])
+    assert 2 not in plan.affected()
+    places = {r.shard: r.folder for r in resharding.rewrite(spark, old, str(tmp_path / "new"), plan).collect()}
+    assert places == {0: str(tmp_path / "new"), 1: str(tmp_path / "new"), 2: old}
+    after = [r for j, folder in places.items() for r in spark.read.parquet(folder).where(F.col("shard") == j).collect()]
+    assert sorted((r.doc_id, r.text) for r in after) == sorted((i, t) for i, t, _ in texts)
+    assert plan.moved_bytes <= capacities[0] / 2 + 400
+
+
+def test_nearest_on_odd_rows(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((400, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(400 + i, x[0].tolist()) for i in range(60)]  # a group of equal vectors
+    rows += [(500, None), (501, [0.0] * 8), (502, [1.0] * 7), (503, [float("nan")] * 8), (504, [None] * 8), (None, x[1].tolist()), (3, x[3].tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rank", F.lit(1)).repartition(4)
+    asked = table.where("vec_id % 20 = 0")
+    ids = np.array([i for i, v in rows[:460]])
+    vectors = np.array([v for _, v in rows[:460]])
+    for cell in (4096, 60):
+        found = nearest.nearest(table, asked, cell=cell).toPandas()
+        assert set(found.query_id) == set(ids[ids % 20 == 0].tolist())
+        hits = 0
+        for q, own in found.groupby("query_id"):
+            score = vectors @ vectors[ids == q][0]
+            score[ids == q] = -np.inf
+            best = ids[np.lexsort((ids, -score))[:20]]
+            hits += len(set(best) & set(own.vec_id))
+            assert list(own.sort_values("rank")["rank"]) == list(range(1, 21)) and q not in set(own.vec_id)
+        assert hits >= 0.9 * len(found)
+        ties = found[found.query_id == 0].sort_values("rank").vec_id.tolist()
+        assert ties == list(range(400, 420))
+    assert nearest.nearest(table.limit(0), asked).isEmpty()
+    few = nearest.nearest(table.where("vec_id < 3"), asked).toPandas()
+    assert len(few) == 2
+
+
+def test_chi_square_quantile():
+    assert math.isclose(nearest.chi_square_quantile(0.95, 8), 15.507, abs_tol=1e-3)
+
+
+def test_classifier_on_odd_rows(docs, empty, spark):
+    labels = spark.createDataFrame([(2, 1), (3, 1), (5, 0), (6, 0), (7, None), (None, 1), (5, 1)], "doc_id long, quality int")
+    weights = quality_classifier.train(docs, labels)
+    rows = quality_classifier.score(docs, weights)
+    assert rows.columns == [c for c in docs.columns if c != "score"] + ["score"]
+    scores = {(r.doc_id, r.text): r.score for r in rows.collect()}
+    assert all(0 <= s <= 1 for s in scores.values()) and scores[0, ""] == scores[1, None]
+    assert scores[2, LONG] > scores[6, f"  {LINE.upper()}\t\ntwo\n{LINE}"]
+    assert (quality_classifier.train(docs.repartition(9), labels.repartition(5)) == weights).all()
+    assert quality_classifier.score(empty, weights).isEmpty()
+    none = quality_classifier.train(docs, labels.limit(0))
+    assert not none.any()
+
+
+def test_piece_sampling_on_odd_rows(docs, empty):
+    rows = piece_sampling.sampled(docs, k=3)
+    by = {}
+    for r in rows.collect():
+        by.setdefault((r.doc_id, r.n_pieces > 3000), []).append(r)
+        assert r.decoded
+    assert [r.n_pieces for r in by[1, False]] == [0] and by[1, False][0].log_inclusion == 0
+    assert len({tuple(r.ids) for r in by[3, True]}) == 3
+    assert len({tuple(r.ids) for r in by[2, True]}) == 3 and len(by[2, True]) == 6  # a repeated row is sampled alike
+    assert piece_sampling.sampled(empty).isEmpty()
+
+
+def test_samples_follow_the_distribution():
+    """All segmentations of a short text by enumeration against many keys."""
+    vocabulary = piece_sampling.Vocabulary.load()
+    raw = b"the onan\n\xf0\x9f\x98\x80"
+    text = b"\xff" + raw.replace(b" ", b"\xff")
+    log_p = dict(zip(vocabulary.pieces, vocabulary.log_p))
+    number = dict(zip(vocabulary.pieces, vocabulary.ids.tolist()))
+
+    def spell(at):
+        if at == len(text):
+            return [((), 0.0)]
+        width = 4 if text[at] == 0xF0 else 1
+        ways = [((number[p],), log_p[p], at + len(p)) for p in (text[at:z] for z in range(at + 1, len(text) + 1)) if p in log_p]
+        if text[at:at + width] not in log_p:
+            ways.append((tuple(vocabulary.byte_ids[list(text[at:at + width])].tolist()), width * vocabulary.byte_log_p, at + width))
+        return [(ids + more, w + v) for ids, w, z in ways for more, v in spell(z)]
+
+    found = spell(0)
+    total = np.logaddexp.reduce([w for _, w in found])
+    p = {ids: math.exp(w - total) for ids, w in found}
+    n = 4000
+    first, second, estimate = {}, {}, 0.0
+    data, offsets = np.frombuffer(raw * n, np.uint8), np.arange(n + 1) * len(raw)
+    for _, r, ids, log_prob, value, inclusion in piece_sampling.segmentations(
+            data, offsets, piece_sampling.mix64(np.arange(n, dtype=np.uint64)), vocabulary, 2):
+        ids = tuple(ids.tolist())
+        assert math.isclose(math.exp(log_prob), p[ids], abs_tol=1e-9)
+        (second if r else first)[ids] = (second if r else first).get(ids, 0) + 1
+        estimate += p[ids] / math.exp(inclusion) / n
+    for ids in sorted(p, key=p.get)[-4:]:
+        assert abs(first.get(ids, 0) / n - p[ids]) < 0.03
+        expected = sum(p[o] * p[ids] / (1 - p[o]) for o in p if o != ids)
+        assert abs(second.get(ids, 0) / n - expected) < 0.03
+    assert math.isclose(estimate, 1.0, abs_tol=0.05)  # inclusion weights are unbiased
+
+
+# --- archives --------------------------------------------------------------------------------------
+
+def test_archives_round_trip(spark, tmp_path):
+    big = "<p>" + "long page " * 50_000
+    rows = [(1, "http://a", "x" * 150), (2, None, "x" * 150), (3, "http://c\r\nd e", None), (4, "http://d", None), (5, "u", "short"), (6, "u", "short"),
+            (7, "u", big), (None, "u", "x" * 150), (8, "é", "é" * 60), (1, "http://a", "x" * 150)]
+    rows += [(100 + i, "u", f"<html>page {i} with some words in it {i * 7}</html>") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    path = str(tmp_path / "w")
+    warc.write_archives(pages, path)
+    found = warc.read_archives(spark, path).collect()
+    assert len(found) == len(rows)
+    by = {r.record_id: r for r in found}
+    assert by["<urn:page:2>"].record_type == "revisit" and by["<urn:page:2>"].refers_to == "<urn:page:1>"
+    assert by["<urn:page:null>"].record_type == "revisit" and by["<urn:page:6>"].record_type == "response"
+    assert bytes(by["<urn:page:7>"].payload).decode() == big and by["<urn:page:2>"].payload_bytes == 150
+    assert by["<urn:page:3>"].uri == "http://c%0D%0Ad%20e" and by["<urn:page:3>"].payload_bytes == 0
+    assert by["<urn:page:8>"].payload_digest == hashlib.sha256(("é" * 60).encode()).hexdigest()
+    nothing = str(tmp_path / "e")
+    warc.write_archives(pages.limit(0), nothing)
+    assert warc.read_archives(spark, nothing).isEmpty()
+
+
+def test_archives_with_a_packed_dictionary():
+    content = zstandard.train_dictionary(2000, [f"sample {i} of some text {i * i}".encode() * 3 for i in range(200)]).as_bytes()
+    packer = zstandard.ZstdCompressor(3, zstandard.ZstdCompressionDict(content))
+    raw = warc.record(1, "u", b"abc", hashlib.sha256(b"abc").hexdigest(), None, False)
+    for dictionary in (content, zstandard.ZstdCompressor().compress(content)):
+        archive = warc.skippable(warc.DICTIONARY_MARK, dictionary) + packer.compress(raw) + warc.SEPARATOR.encode()
+        assert [warc.parse(f)["payload"] for f in warc.frames(archive)] == [b"abc"]
+
+
+@pytest.mark.parametrize("change, message", [
+    (lambda r: r.replace(b"WARC/1.1", b"WARC/9"), "version"), (lambda r: r.replace(b"WARC-Date", b"WARC-Day"), "missing"),
+    (lambda r: r + b"x", "block of"), (lambda r: r.replace(b"abc", b"abd"), "digest"),
+    (lambda r: r.replace(b"Content-Type: text/html; charset=utf-8\r\n", b"Content-Type: text/htmlx; charset=utf-8\r\n"), "block of"),
+    (lambda r: r.replace(b"WARC-Type: response", b"WARC-Type: request"), "bad request")])
+def test_broken_records(change, message):
+    raw = warc.record(1, "u", b"abc", hashlib.sha256(b"abc").hexdigest(), None, False)
+    assert warc.parse(raw)["payload_bytes"] == 3
+    with pytest.raises(warc.BrokenArchive, match=message):
+        warc.parse(change(raw))
+
+
+def test_broken_frames():
+    frame = zstandard.ZstdCompressor(write_checksum=True).compress(b"some content " * 20)
+    assert list(warc.frames(frame + frame)) == [b"some content " * 20] * 2
+    for bad in (frame[:-1], frame + b"\0\0\0\0\0\0\0\0", b"P*M\x18\xff\0\0\0", frame[:-1] + bytes([frame[-1] ^ 1])):
+        with pytest.raises(warc.BrokenArchive):
+            list(warc.frames(bad))
