@@ -98,8 +98,8 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", mi
     else:
         sent = None
         gone = pairs.join(repeated, "digest").where(~F.col("doc").eqNullSafe(F.col("keep")))
-        gone = gone.groupBy("doc").agg(F.collect_list("digest").alias("ld_gone"))
-        rows = rows.join(gone, F.col("ld_doc").eqNullSafe(F.col("doc")), "left").drop("doc")
+        gone = gone.groupBy(F.col("doc").alias("ld_key")).agg(F.collect_list("digest").alias("ld_gone"))
+        rows = rows.join(gone, F.col("ld_doc").eqNullSafe(F.col("ld_key")), "left")
     names = docs.columns
 
     def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

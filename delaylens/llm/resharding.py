@@ -79,13 +79,14 @@ class Plan:
         return {s for move in moves for s in move}
 
 
-def _place(sizes: dict[tuple[int, int, int], int], flow: dict[tuple[int, int], float], shards: int) -> dict:
+def _place(sizes: dict[tuple[int, int, int], int], flow: dict[tuple[int, int], float], capacity: list[float]) -> dict:
     """Blocks to shards along the flow: in each old shard the largest block goes where most of the flow is still open.
 
-    Whole blocks can't meet the flow exactly; single blocks then move from the fullest to the emptiest shard while
-    that narrows their gap.
+    Whole blocks can't meet the flow exactly; single blocks then move from the shard most above its capacity to that
+    most below while that narrows their gap.
     """
-    placed, load = {}, [0] * shards
+    shards = len(capacity)
+    placed, load = {}, [-c for c in capacity]
     by_old: dict[int, list] = {}
     for k, n in sizes.items():
         by_old.setdefault(k[0], []).append((-n, k))
@@ -136,7 +137,7 @@ def plan_transfers(rows: DataFrame, shards: int, capacities: list[float] | None
     supply = [sum(n for k, (n, _) in whole.items() if k[0] == o) for o in olds]
     scale = total / sum(shares) if sum(shares) else 1.0
     flow = cheapest_flow(supply, [s * scale for s in shares], lambda i, j: 0.0 if olds[i] == j else 1.0)
-    placed = _place(sizes, {(olds[i], j): f for (i, j), f in flow.items()}, shards)
+    placed = _place(sizes, {(olds[i], j): f for (i, j), f in flow.items()}, [s * scale for s in shares])
     moved = sum(n for k, n in sizes.items() if placed[k] != k[0])
     return Plan(placed, large, moved, sum(c for _, c in whole.values()))
 
