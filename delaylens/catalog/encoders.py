@@ -60,7 +60,7 @@ def f2(t: Tables):
 def f2_sparse(t: Tables):
     from pyspark.ml.functions import vector_to_array
 
-    rows = encode.one_hot(t.flights.select("FLIGHT_ID", "FL_NUMBER"), "FL_NUMBER", cap=100)
+    rows = encode.one_hot(t.flights.select("FLIGHT_ID", "FL_NUMBER"), "FL_NUMBER", form="vector")
     place = F.array_position(vector_to_array("FL_NUMBER_vec"), 1.0) - 1
     return rows.select("FLIGHT_ID", place.cast("int").alias("hot"))
 
@@ -71,6 +71,15 @@ def f3(t: Tables):
     return encode.dummies_drop_first(t.flights.select("FLIGHT_ID", "DEST"), ["DEST"])
 
 
+@query("f3_dummies_drop_first_vector", "SELECT FLIGHT_ID, CAST(nullif(dense_rank() OVER (ORDER BY CAST(FL_NUMBER AS VARCHAR)) - 2, -1) AS INT) AS hot FROM flights")
+def f3_vector(t: Tables):
+    from pyspark.ml.functions import vector_to_array
+
+    rows = encode.dummies_drop_first(t.flights.select("FLIGHT_ID", "FL_NUMBER"), ["FL_NUMBER"], form="vector")
+    place = F.array_position(vector_to_array("FL_NUMBER_vec"), 1.0) - 1
+    return rows.select("FLIGHT_ID", F.nullif(place, F.lit(-1)).cast("int").alias("hot"))
+
+
 @query("f4_ordinal_encode", "SELECT FLIGHT_ID, CAST(isodow(FL_DATE) - 1 AS BIGINT) AS day FROM flights")
 def f4(t: Tables):
     rows = t.flights.select("FLIGHT_ID", day_name("FL_DATE").alias("day"))

@@ -216,8 +216,9 @@ def x7(t: Tables):
 
 
 @query("x8_shap_dependence", SHAP + f"""
-SELECT a.FLIGHT_ID, a.value, {q6("a.phi")} AS phi, b.value AS interaction FROM sh a JOIN sh b USING (FLIGHT_ID)
-WHERE a.feature = 'DEP_DELAY' AND b.feature = 'TAXI_OUT'""")
+SELECT FLIGHT_ID, max(value) FILTER (feature = 'DEP_DELAY') AS value, {q6("max(phi) FILTER (feature = 'DEP_DELAY')")} AS phi,
+       max(value) FILTER (feature = 'TAXI_OUT') AS interaction
+FROM sh WHERE feature IN ('DEP_DELAY', 'TAXI_OUT') GROUP BY FLIGHT_ID""")
 def x8(t: Tables):
     return rounded(explain.shap_dependence(attributions(t), "FLIGHT_ID", "DEP_DELAY", "TAXI_OUT"), "phi")
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import encode, evaluate, explain, models, neural, search, split
 from ..operators.scale import bounded, complete_rows, spread
 from ..plans import congestion, delay_minutes, late_flights, logistic_study
+from ..session import checkpointed
 from ..sources import stores
 from ..sources.sample_tables import classification_sample
 from ..streaming.scoring import landed_stream, score_records, score_stream
@@ -37,6 +38,13 @@ def settled(rows: DataFrame, result: DataFrame) -> DataFrame:
     return out
 
 
+def released(rows: DataFrame, result: DataFrame) -> DataFrame:
+    """Write a large result before the training rows are released."""
+    out = checkpointed(result)
+    rows.unpersist()
+    return out
+
+
 def judged(scored: DataFrame, name: str) -> DataFrame:
     return bounded(evaluate.classification_metrics(scored, "LATE", "predicted", "probability_1", name))
 
@@ -79,9 +87,7 @@ def m7_busy(t: Tables):
 @query("m8_neural_classifier")
 def m8(t: Tables):
     rows = learning_rows(t)
-    train = models.balance_by_sampling(part(rows, "train"), "LATE", KEY).persist(StorageLevel.MEMORY_AND_DISK)
-    model, _ = models.perceptron_ladder(train, part(rows, "val"), "LATE", [32], (25, 50))
-    train.unpersist()
+    model, _ = models.perceptron_ladder(part(rows, "train"), part(rows, "val"), "LATE", [32], (25, 50))
     return settled(rows, judged(models.score(part(rows, "test"), model), "Perceptron"))
 
 
@@ -161,8 +167,7 @@ def m14(t: Tables):
 def m15(t: Tables):
     rows = learning_rows(t)
     model = models.logistic(part(rows, "train"), "LATE")
-    rows.unpersist()
-    return models.score(part(rows, "test"), model).select(KEY, "LATE", "probability_1", "predicted")
+    return released(rows, models.score(part(rows, "test"), model).select(KEY, "LATE", "probability_1", "predicted"))
 
 
 @query("m16_score_records")
@@ -198,8 +203,7 @@ def t1(t: Tables):
 def f8(t: Tables):
     rows = complete_rows(t.late.select(KEY, *FIVE)).persist(StorageLevel.MEMORY_AND_DISK)
     scaling, model, count = models.fit_pca(rows, FIVE)
-    rows.unpersist()
-    return models.apply_pca(rows, FIVE, scaling, model, count).select(KEY, *[f"PC{i + 1}" for i in range(count)])
+    return released(rows, models.apply_pca(rows, FIVE, scaling, model, count).select(KEY, *[f"PC{i + 1}" for i in range(count)]))
 
 
 @query("f9_explained_variance")
@@ -263,8 +267,7 @@ def x3(t: Tables):
 def x5(t: Tables):
     rows = learning_rows(t)
     model = models.forest_regressor(part(rows, "train"), "ARR_DELAY", 10, 5)
-    rows.unpersist()
-    return explain.tree_shap(rows.drop("features"), KEY, model, FIVE)
+    return released(rows, explain.tree_shap(rows.drop("features"), KEY, model, FIVE))
 
 
 @query("x6_sampled_shap")

@@ -12,7 +12,6 @@ from .scale import WINDOW_ROWS, bounded, numeric_columns, running_totals
 
 MISSING = "Missing"
 NULL_CATEGORY = "\u0000null"
-EXPLICIT_CATEGORIES = 256
 
 
 def fit_woe(df: DataFrame, columns: list[str], label: str, null_mode: str = "category",
@@ -65,12 +64,15 @@ def fit_categories(df: DataFrame, column: str, max_window_rows: int = WINDOW_ROW
 
 
 def label_encode(df: DataFrame, column: str, fitted: DataFrame | None = None, target: str | None = None,
-                 unseen: int = -1) -> DataFrame:
-    """Replace the column by its code; unseen values and NULL get ``unseen``."""
+                 unseen: int = -1, is_bounded: bool = False) -> DataFrame:
+    """Replace the column by its code; unseen values and NULL get ``unseen``.
+
+    ``is_bounded`` says that ``fitted`` already went through ``bounded``.
+    """
     target = target or column
     fitted = fit_categories(df, column) if fitted is None else fitted
     keyed = df.withColumn("__category", F.col(column).cast("string"))
-    out = lookup_map(keyed, "__category", fitted, {"code": "__found"}, "category", {"__found": unseen})
+    out = lookup_map(keyed, "__category", fitted, {"code": "__found"}, "category", {"__found": unseen}, is_bounded)
     return out.withColumn(target, F.col("__found").cast("bigint")).drop("__category", "__found")
 
 
@@ -80,35 +82,37 @@ def ordinal_encode(df: DataFrame, column: str, order: list[str], target: str | N
     return df.withColumn(target or column, place.cast("bigint"))
 
 
-def explicit_categories(fitted: DataFrame, cap: int = EXPLICIT_CATEGORIES) -> list[str] | None:
-    """The categories in order, or None when there are more than ``cap``."""
-    rows = fitted.orderBy("code").limit(cap + 1).collect()
-    return [r["category"] for r in rows] if len(rows) <= cap else None
-
-
 def one_hot(df: DataFrame, column: str, fitted: DataFrame | None = None, drop_first: bool = False,
-            cap: int = EXPLICIT_CATEGORIES, keep: bool = False) -> DataFrame:
-    """One 0/1 column per category, all 0 for unseen values and NULL.
+            form: str = "columns", keep: bool = False) -> DataFrame:
+    """The column as 0/1 values per category, all 0 for unseen values and NULL; ``drop_first`` leaves the first out.
 
-    Beyond ``cap`` categories a single sparse vector ``{column}_vec`` replaces them, built on the codes.
+    ``form`` alone decides the schema: ``columns`` adds one column per category, ``vector`` one sparse vector
+    ``{column}_vec`` over the codes, for columns with so many categories that a wide table is of no use.
     """
+    if form not in ("columns", "vector"):
+        raise ValueError(f"form is 'columns' or 'vector', not {form!r}")
     fitted = fit_categories(df, column) if fitted is None else fitted
-    categories = explicit_categories(fitted, cap)
-    if categories is None:
+    if form == "vector":
         size = fitted.count()
-        coded = label_encode(df, column, fitted, target="__code", unseen=size)
+        # the encoder drops its last place: that of unseen values, and of the first category if it is left out
+        coded = label_encode(df, column, fitted, target="__code", unseen=-1 if drop_first else size)
+        place = F.col("__code")
+        if drop_first:
+            place = F.when(place > 0, place - 1).otherwise(size - 1)
+        last = float(size - 1 if drop_first else size)
         model = OneHotEncoder(inputCol="__code", outputCol=f"{column}_vec", handleInvalid="error", dropLast=True)
-        span = df.sparkSession.createDataFrame([(float(size),)], "__code double")
-        out = model.fit(span).transform(coded.withColumn("__code", F.col("__code").cast("double"))).drop("__code")
+        span = df.sparkSession.createDataFrame([(last,)], "__code double")
+        out = model.fit(span).transform(coded.withColumn("__code", place.cast("double"))).drop("__code")
     else:
+        categories = [r["category"] for r in fitted.orderBy("code").collect()]  # as many as the columns asked for
         value = F.coalesce(F.col(column).cast("string"), F.lit(NULL_CATEGORY))
         out = df.withColumns({f"{column}_{v}": (value == v).cast("int") for v in categories[drop_first:]})
     return out if keep else out.drop(column)
 
 
-def dummies_drop_first(df: DataFrame, columns: list[str]) -> DataFrame:
+def dummies_drop_first(df: DataFrame, columns: list[str], form: str = "columns") -> DataFrame:
     for c in columns:
-        df = one_hot(df, c, drop_first=True)
+        df = one_hot(df, c, drop_first=True, form=form)
     return df
 
 
@@ -123,7 +127,7 @@ def binary_encode(df: DataFrame, columns: list[str], fitted: dict[str, DataFrame
     for c in columns:
         table = bounded((fitted or {}).get(c) if fitted and c in fitted else fit_categories(df, c))
         width = binary_width(table)
-        coded = label_encode(df, c, table, target="__code", unseen=-1)
+        coded = label_encode(df, c, table, target="__code", unseen=-1, is_bounded=True)
         ordinal = F.col("__code") + 1
         df = coded.withColumns({f"{c}_{j}": F.shiftright(ordinal, width - 1 - j).bitwiseAND(1).cast("int")
                                 for j in range(width)}).drop("__code", c)

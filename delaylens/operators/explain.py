@@ -192,13 +192,15 @@ def shap_summary(attributions: DataFrame, n: int = 20) -> DataFrame:
 def shap_dependence(attributions: DataFrame, key: str, feature: str, interaction: str | None = None) -> DataFrame:
     """``(key, value, phi)`` of a feature, with the other feature's value beside it when asked for.
 
-    ``key`` names one row; the two features of a row meet in a one-to-one join.
+    ``key`` names one row; both features of a row meet in one aggregate over the key.
     """
-    own = attributions.where(F.col("feature") == feature).select(key, "value", "phi")
     if interaction is None:
-        return own
-    other = attributions.where(F.col("feature") == interaction).select(key, F.col("value").alias("interaction"))
-    return own.join(other, key, "left")
+        return attributions.where(F.col("feature") == feature).select(key, "value", "phi")
+    of = lambda name, value: F.max(F.when(F.col("feature") == name, F.col(value)))
+    both = attributions.where(F.col("feature").isin(feature, interaction)).groupBy(key).agg(
+        of(feature, "value").alias("value"), of(feature, "phi").alias("phi"), of(interaction, "value").alias("interaction"),
+        F.max(F.col("feature") == feature).alias("__own"))
+    return both.where("__own").drop("__own")
 
 
 def force_table(attributions: DataFrame, key: str, n: int = 3) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .encode import Scaling, apply_standard, fit_standard
-from .scale import complete_rows, exact_quantiles, hash_uniform
+from .scale import complete_rows, exact_quantiles
 
 FEATURES = "features"
 WEIGHT = "class_weight"
@@ -111,14 +111,6 @@ def boosted_trees(label: str, rounds: int = 1000, step: float = 0.1, depth: int
     return est.setValidationIndicatorCol(stop_flag) if stop_flag else est
 
 
-def balance_by_sampling(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
-    """Thin the larger classes to the size of the smallest, by hash; for learners without weights."""
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
-    least = min(counts.values())
-    share = F.create_map(*[v for y, n in counts.items() for v in (F.lit(y), F.lit(least / n))])[F.col(label)]
-    return df.where(hash_uniform(key, f"balance-{seed}") / F.lit(2.0 ** 32) < share)
-
-
 def perceptron_ladder(train: DataFrame, validation: DataFrame, label: str, hidden: list[int],
                       ladder: list[int] = (25, 50, 100), seed: int = 42):
     """Sigmoid perceptron fitted for a ladder of iteration counts; the one with the least validation loss wins.

@@ -122,7 +122,12 @@ def running_totals(df: DataFrame, order: list[str], values: list[str], by: list[
         *by, "__part", *[F.coalesce(F.sum(f"__sum_{v}").over(before), F.lit(0)).alias(f"__before_{v}") for v in values]
     )
     within = Window.partitionBy(*by, "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = ranged.join(bounded(offsets), [*by, "__part"])
+    # NULL is a group like any other
+    offsets = offsets.withColumnsRenamed({c: f"__by_{c}" for c in [*by, "__part"]})
+    same = F.col("__part") == F.col("__by___part")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
+    joined = ranged.join(bounded(offsets), same)
     return joined.withColumns(
         {f"cum_{v}": F.sum(v).over(within) + F.col(f"__before_{v}") for v in values}
     ).select(*df.columns, *[f"cum_{v}" for v in values])

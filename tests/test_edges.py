@@ -165,8 +165,25 @@ def test_encoders_on_unseen(spark):
     assert values(encode.label_encode(new, "c", fitted)) == [1, -1, -1]
     assert [tuple(r) for r in encode.one_hot(new, "c", fitted).collect()] == [(0, 1, 0), (0, 0, 0), (0, 0, 0)]
     assert [tuple(r) for r in encode.binary_encode(new, ["c"], {"c": fitted}).collect()] == [(1, 0), (0, 0), (0, 0)]
-    vec = encode.one_hot(new, "c", fitted, cap=2).collect()
+    vec = encode.one_hot(new, "c", fitted, form="vector").collect()
     assert [r[0].toArray().tolist() for r in vec] == [[0, 1, 0], [0, 0, 0], [0, 0, 0]]
+    first = spark.createDataFrame([("x",), ("y",), ("z",), ("q",)], "c string")
+    vec = encode.one_hot(first, "c", fitted, drop_first=True, form="vector").collect()
+    assert [r[0].toArray().tolist() for r in vec] == [[0, 0], [1, 0], [0, 1], [0, 0]]
+    assert [tuple(r) for r in encode.one_hot(first, "c", fitted, drop_first=True).collect()] == [(0, 0), (1, 0), (0, 1), (0, 0)]
+
+
+def test_one_hot_has_one_schema_for_any_number_of_categories(spark):
+    many = spark.range(300).selectExpr("CAST(id AS STRING) AS c", "id")
+    wide = encode.dummies_drop_first(many, ["c"])
+    assert len(wide.columns) == 300 and "c_vec" not in wide.columns
+    assert sum(wide.where("id = 7").first()[1:]) == 1 and sum(wide.where("id = 0").first()[1:]) == 0
+    narrow = encode.dummies_drop_first(many, ["c"], form="vector")
+    assert narrow.columns == ["id", "c_vec"] and narrow.first()["c_vec"].size == 299
+
+
+def test_ordinal_encode(spark):
+    new = spark.createDataFrame([("y",), ("q",), (None,)], "c string")
     assert values(encode.ordinal_encode(new, "c", ["x", "y"])) == [1, -1, None]
 
 

@@ -23,6 +23,15 @@ def test_running_totals_ranged_equals_window(spark, skewed):
     assert sorted(small.collect()) == sorted(large.select(small.columns).collect())
 
 
+def test_null_group_on_both_paths(skewed):
+    rows = skewed.withColumn("g", F.when(F.col("id") % 3 > 0, F.col("id") % 3))
+    for limit in (scale.WINDOW_ROWS, 20):
+        found = {r["g"]: r for r in evaluate.roc_auc(rows, "y", "x", by=["g"], max_window_rows=limit).collect()}
+        assert set(found) == {None, 1, 2}
+        own = [(r["y"], r["x"]) for r in rows.where("g IS NULL").collect()]
+        assert [v for k, v in found[None].asDict().items() if k != "g"] == [pytest.approx(brute_auc(own))]
+
+
 def test_quantiles_on_both_paths(skewed):
     x = np.array([r["x"] for r in skewed.collect()])
     probabilities = [0.0, 0.25, 0.5, 0.9, 1.0]
