@@ -150,9 +150,13 @@ def frames(archive: bytes) -> Iterator[bytes]:
 
 def fit_dictionary(pages: DataFrame, key: str = "page_id", html: str = "html") -> bytes:
     """A dictionary from a bounded sample of payloads, empty where there are too few to fit one."""
-    sample = pages.where(F.col(html).isNotNull()).select(
-        F.substring(F.col(html), 1, SAMPLE_BYTES).cast("binary").alias("s"), F.xxhash64(key).alias("h"))
-    texts = [bytes(r["s"]) for r in sample.orderBy("h", "s").limit(SAMPLE_PAYLOADS).collect()]
+    rows = pages.where(F.col(html).isNotNull()).select(F.col(html).alias("p"), F.xxhash64(key, html).alias("h"))
+    # the smallest hashes first, so that tasks send hashes to the driver and only the chosen rows' payloads
+    last = rows.select("h").distinct().orderBy("h").limit(SAMPLE_PAYLOADS).agg(F.max("h")).first()[0]
+    if last is None:
+        return b""
+    chosen = rows.where(F.col("h") <= last).select(F.substring("p", 1, SAMPLE_BYTES).cast("binary").alias("s"))
+    texts = [bytes(r["s"]) for r in chosen.limit(2 * SAMPLE_PAYLOADS).collect()]
     if len(texts) < 16:
         return b""
     try:
