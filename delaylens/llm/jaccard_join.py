@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from . import bloom
 from .common import written
 from .components import components
-from .textbytes import chunks, ngram_hashes, word_hashes, words
+from .textbytes import chunks, mix64, ngram_hashes, word_hashes, words
 
 N_WORDS, PERCENT = 5, 80
 #: Counters by which members are ordered from rare to frequent; sets in a part of a block; largest bitmap; fan of trees.
@@ -82,6 +82,17 @@ class Order:
         return members[np.argsort(level, kind="stable")[:prefix_length(len(members), percent)]]
 
 
+def block_keys(members: np.ndarray, order: Order, percent: int) -> np.ndarray:
+    """Two keys per prefix member: sets that share one are near enough in size to link.
+
+    Sizes fall into classes a little wider than the ratio that links allow, so linked sets are in one class or in
+    neighbours. A set takes part in its own class and the next.
+    """
+    size_class = int(np.log(len(members)) / (1.0001 * np.log(100 / percent))) if percent < 100 else len(members)
+    prefix = order.prefix(members, percent)
+    return np.concatenate([mix64(prefix + np.uint64((size_class + k) * 0x9E3779B97F4A7C15 % (1 << 64))) for k in (1, 2)])
+
+
 def described(docs: DataFrame, n: int) -> DataFrame:
     """Per row ``(doc, size, d1, d2, bits)``, and the tasks' counters as rows with a ``block``; written once."""
     kind = docs.schema["js_doc"].dataType.simpleString()
@@ -147,9 +158,9 @@ def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast, n_membe
     def prefixes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for members in shingle_sets(batch.column("js_text"), n):
             if len(members):
-                yield order.value.prefix(members, percent)
+                yield block_keys(members, order.value, percent)
 
-    twice = bloom.build(docs.select("js_text"), prefixes, n_members)
+    twice = bloom.build(docs.select("js_text"), prefixes, 2 * n_members)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -158,7 +169,7 @@ def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast, n_membe
             for members in shingle_sets(batch.column("js_text"), n):
                 if not len(members):
                     continue
-                prefix = order.value.prefix(members, percent)
+                prefix = block_keys(members, order.value, percent)
                 prefix = prefix[twice.value.hits(prefix)]
                 if not len(prefix) or (d := set_digest(members)) in seen:
                     continue
@@ -288,15 +299,30 @@ def forest(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None)
     if side is not None:
         ok = side[i] != side[j]
         i, j = i[ok], j[ok]
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    members, base, mark = None, np.concatenate([[0], np.cumsum([len(s) for s in sets])]), None
     group, links = np.arange(len(sets)), []
-    while len(i):
-        for a, b in zip(i[:256].tolist(), j[:256].tolist()):
-            if group[a] != group[b] and linked(sets[a], sets[b], percent):
+    for own in np.split(np.arange(len(i)), np.flatnonzero(np.diff(i)) + 1):
+        if not len(own):
+            continue
+        a = int(i[own[0]])
+        partners = j[own][group[j[own]] != group[a]]
+        if len(partners) > 16:  # all overlaps of one set in one pass
+            if members is None:
+                _, members = np.unique(np.concatenate(sets), return_inverse=True)
+                mark = np.zeros(len(members), bool)
+            mark[members[base[a]:base[a + 1]]] = True
+            both = np.add.reduceat(mark[members], base[:-1], dtype=np.int64)[partners]
+            mark[members[base[a]:base[a + 1]]] = False
+            either = np.diff(base)[partners] + len(sets[a]) - both
+            partners, known = partners[100 * both >= percent * either], True
+        else:
+            known = False
+        for b in partners.tolist():
+            if group[a] != group[b] and (known or linked(sets[a], sets[b], percent)):
                 links.append((a, b))
                 group[group == group[b]] = group[a]
-        i, j = i[256:], j[256:]
-        ok = group[i] != group[j]
-        i, j = i[ok], j[ok]
     return links
 
 
