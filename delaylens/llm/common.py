@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -56,3 +57,15 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
     rows = max(1, int(batch.num_rows * limit / max(1, batch.column(column).nbytes)))
     for first in range(0, batch.num_rows, rows):
         yield batch.slice(first, rows)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of fewer rows for jobs run inside the block; tasks with long texts need less memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -22,13 +22,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from . import bloom
-from .common import slices, widened, written
+from .common import slices, small_batches, widened, written
 from .textbytes import chunks, mix64
 
 LENGTH, GRAM = 400, 32
 #: Bytes of a long text worked on at once, of suffixes sorted in one run, of text per range of the merge, and ranges
 #: per task. The part of a run in one range is a row, so that rows stay small.
-PIECE, RUN_BYTES, RANGE_BYTES, RANGES_PER_TASK = 1 << 22, 8 << 20, 4 << 20, 4
+PIECE, RUN_BYTES, RANGE_BYTES, RANGES_PER_TASK = 1 << 22, 6 << 20, 4 << 20, 4
 #: Distinct spans of a group up to which pairs are compared; larger groups are swept by distance.
 PAIRWISE = 12
 
@@ -362,11 +362,12 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -
         for _, _, data, offsets in pieces(batch.column("sx_text"), length):
             yield anchors(data, offsets, length)[3]
 
-    twice = bloom.build(slim.select("sx_text"), hashes, 2 * n // (length - GRAM) + 1)
-    ranges = int(min(20_000, max(12, n // RANGE_BYTES)))
-    parts = covered_parts(sorted_runs(slim, length, twice, ranges), length, ranges)
-    parts = parts.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("sx_parts"))
-    parts = written(parts.withColumnRenamed("text", "sx_covered"), "covered")
+    with small_batches(docs.sparkSession):
+        twice = bloom.build(slim.select("sx_text"), hashes, 2 * n // (length - GRAM) + 1)
+        ranges = int(min(20_000, max(12, n // RANGE_BYTES)))
+        parts = covered_parts(sorted_runs(slim, length, twice, ranges), length, ranges)
+        parts = parts.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("sx_parts"))
+        parts = written(parts.withColumnRenamed("text", "sx_covered"), "covered")
     rows = docs.withColumn("sx_id", F.unhex(F.md5(F.col(text)))).join(
         parts, F.col("sx_id") == F.col("sx_covered"), "left")
     rows = rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(text).cast("binary").alias("sx_text"), "sx_parts")
