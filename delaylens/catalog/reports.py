@@ -1,9 +1,9 @@
 """Grouped reports, profile and correlation."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from ..operators import report
-from ..sources.flights import DELAY_CAUSES
+from ..sources.flights import DELAY_CAUSES, flights_schema
 from .base import LATE, PREDICTIONS, Tables, q6, query, r6, rounded
 
 GROUPED = "SELECT AIRLINE, avg(ARR_DELAY) AS avg_delay, count(*) AS flight_count FROM flights WHERE ARR_DELAY > 0 AND AIRLINE IS NOT NULL GROUP BY AIRLINE"
@@ -125,9 +125,12 @@ def _bins(table: str, column: str) -> str:
  count(*) AS n FROM {table}, (SELECT min({column}) AS lo, max({column}) AS hi FROM {table}) WHERE {column} IS NOT NULL GROUP BY 2"""
 
 
-@query("h12_histogram", " UNION ALL ".join(_bins("flights", c) for c in ("TAXI_OUT", "TAXI_IN", "DELAY_DUE_SECURITY")))
+MEASURES = [f.name for f in flights_schema() if not isinstance(f.dataType, (T.StringType, T.DateType))]
+
+
+@query("h12_histogram", " UNION ALL ".join(_bins("flights", c) for c in MEASURES))
 def h12(t: Tables):
-    return report.histogram(t.flights, ["TAXI_OUT", "TAXI_IN", "DELAY_DUE_SECURITY"])
+    return report.histogram(t.flights, MEASURES)
 
 
 @query("h12_histogram_events", _bins("events", "value"), native=True)
@@ -135,7 +138,7 @@ def h12_events(t: Tables):
     return report.histogram(t.table("events"), ["value"])
 
 
-TEXTS = ["AIRLINE_CODE", "ORIGIN", "DEST", "CANCELLATION_CODE"]
+TEXTS = [f.name for f in flights_schema() if isinstance(f.dataType, T.StringType)]
 
 
 @query("h13_category_counts", " UNION ALL ".join(
@@ -144,10 +147,6 @@ def h13(t: Tables):
     return report.category_counts(t.flights, TEXTS)
 
 
-MEASURES = ["FL_NUMBER", "CRS_DEP_TIME", "DEP_DELAY", "TAXI_OUT", "TAXI_IN", "ARR_DELAY", "CRS_ELAPSED_TIME",
-            "ELAPSED_TIME", "AIR_TIME", "DISTANCE"]
-
-
 @query("h14_distinct_counts", "SELECT c.k AS \"column\", c.n AS \"distinct\" FROM (SELECT unnest(["
        + ", ".join(f"{{'k': '{c}', 'n': count(DISTINCT {c})}}" for c in TEXTS + MEASURES) + "]) AS c FROM flights)")
 def h14(t: Tables):
@@ -181,14 +180,11 @@ def h16_lineitem(t: Tables):
 
 
 @query("h17_high_correlation_pairs", f"SELECT column_a, column_b, {q6('r')} AS abs_corr, column_b AS drop_column "
-                                     f"FROM ({CORRELATIONS}) WHERE r >= 0.9")
+                                     f"FROM ({CORRELATIONS}) WHERE r >= 0.9 AND NOT isnan(r)")
 def h17(t: Tables):
     return rounded(report.high_correlation_pairs(report.correlation_matrix(t.flights, MEASURES), 0.9), "abs_corr")
 
 
-PROFILED = ["DEP_DELAY", "TAXI_OUT", "ARR_DELAY", "DISTANCE", "FL_NUMBER"]
-
-
 def _profile_sql(c: str) -> str:
     return f"""
 SELECT '{c}' AS "column", unnest([
@@ -201,9 +197,10 @@ FROM (SELECT CAST({c} AS DOUBLE) AS v, avg(CAST({c} AS DOUBLE)) OVER () AS m FRO
 
 
 @query("h18_profile", "SELECT \"column\", x.s AS statistic, round(x.v, 4) + 0.0 AS value FROM ("
-       + " UNION ALL ".join(_profile_sql(c) for c in PROFILED) + ")")
+       + " UNION ALL ".join(_profile_sql(c) for c in MEASURES)
+       + ") WHERE coalesce(NOT isnan(x.v), true)")  # a constant column has no skewness and kurtosis
 def h18(t: Tables):
-    found = report.profile(t.flights, PROFILED)
+    found = report.profile(t.flights, MEASURES)
     return found.withColumn("value", F.round("value", 4) + F.lit(0.0))
 
 
