@@ -34,7 +34,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="delaylens-checkpoint-")
     sc.setCheckpointDir(shared)
