@@ -30,7 +30,7 @@ LENGTH, GRAM = 400, 32
 #: per task. The part of a run in one range is a row, so that rows stay small.
 PIECE, RUN_BYTES, RANGE_BYTES, RANGES_PER_TASK = 1 << 22, 6 << 20, 4 << 20, 4
 #: Distinct spans of a group up to which pairs are compared; larger groups are swept by distance.
-PAIRWISE = 12
+PAIRWISE = 48
 
 _AT = np.uint64((1 << 24) - 1)
 _ENTRY = struct.Struct("<HHHB16sQ")
@@ -173,6 +173,16 @@ class LoserTree:
 
 # --- what is covered -------------------------------------------------------------------------------
 
+def _ranked(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Places in sorted order, what neighbours share, and the most that any two share."""
+    order = sorted(set(strings))
+    lcp = np.array([0] + [shared(a, b) for a, b in zip(order, order[1:])])
+    place = {s: i for i, s in enumerate(order)}
+    ranks = np.array([place[s] for s in strings])
+    twice = np.flatnonzero(np.bincount(ranks) > 1)
+    return ranks, lcp, max([int(lcp.max()), *(len(order[i]) for i in twice)])
+
+
 def _sweep(spans: list[tuple[bytes, bytes]], length: int) -> list[list[tuple[int, int]]]:
     """Per span the ranges of distances whose window another span has too; work in proportion to the spans.
 
@@ -180,18 +190,14 @@ def _sweep(spans: list[tuple[bytes, bytes]], length: int) -> list[list[tuple[int
     into classes that share enough before it.
     """
 
-    def ranked(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        order = sorted(set(strings))
-        lcp = np.array([0] + [shared(a, b) for a, b in zip(order, order[1:])])
-        place = {s: i for i, s in enumerate(order)}
-        return np.array([place[s] for s in strings]), lcp
-
-    right, right_lcp = ranked([r for r, _ in spans])
-    left, left_lcp = ranked([b for _, b in spans])
+    right, right_lcp, most_right = _ranked([r for r, _ in spans])
+    left, left_lcp, most_left = _ranked([b for _, b in spans])
+    if most_right - 8 + most_left < length:
+        return [[] for _ in spans]
     low = np.array([length + 8 - len(r) for r, _ in spans])
     high = np.array([len(b) for _, b in spans])
     covered = np.zeros((len(spans), high.max() + 3), bool)
-    for d in range(low.min(), high.max() + 1):
+    for d in range(max(low.min(), length + 8 - most_right), min(high.max(), most_left) + 1):
         own = np.flatnonzero((low <= d) & (d <= high))
         if len(own) < 2:
             continue
