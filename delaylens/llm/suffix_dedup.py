@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import bloom
 from .common import slices, small_batches, widened, written
-from .textbytes import chunks, mix64
+from .textbytes import chunks, mix64, powers
 
 LENGTH, GRAM = 400, 32
 #: Bytes of a long text worked on at once, of suffixes sorted in one run, of text per range of the merge, and ranges
@@ -32,6 +32,7 @@ PIECE, RUN_BYTES, RANGE_BYTES, RANGES_PER_TASK = 1 << 22, 6 << 20, 4 << 20, 4
 #: Distinct spans of a group up to which pairs are compared; larger groups are swept by distance.
 PAIRWISE = 48
 
+_SPREAD = mix64(np.arange(1, 257, dtype=np.uint64))
 _AT = np.uint64((1 << 24) - 1)
 _ENTRY = struct.Struct("<HHHB16sQ")
 
@@ -39,7 +40,11 @@ _ENTRY = struct.Struct("<HHHB16sQ")
 # --- anchors ---------------------------------------------------------------------------------------
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """``(anchor, first window, last window, k-gram hash)``: runs of windows with one anchor, text by text."""
+    """``(anchor, first window, last window, hash)``: runs of windows with one anchor, text by text.
+
+    Runs are cut at fixed distances from the anchor. The hash is of the bytes that all windows of such a cell hold,
+    more than three quarters of a window, so that a short passage which many texts share brings no group together.
+    """
     none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
     n, m = len(data), len(data) - GRAM + 1
     if n < length:
@@ -68,7 +73,19 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     found = (least[at] & _AT).astype(np.int64)
     new = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
     last = np.append(new[1:], len(found)) - 1
-    return found[new], at[new], at[last], h[found[new]]
+    anchor, first, last = found[new], at[new], at[last]
+    cell = max(1, (length - GRAM) // 4)
+    low = (anchor - last) // cell
+    many = (anchor - first) // cell - low + 1
+    which = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    anchor, first, last = (np.repeat(x, many) for x in (anchor, first, last))
+    first, last = np.maximum(first, anchor - which * cell - cell + 1), np.minimum(last, anchor - which * cell)
+    up, down = powers(n)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((_SPREAD[data]) * up[:n], out=sums[1:])
+    start = anchor - which * cell
+    held = (sums[start + length - cell + 1] - sums[start]) * down[start]
+    return anchor, first, last, mix64(held + which.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def pieces(column: pa.Array, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -212,7 +229,7 @@ def _sweep(spans: list[tuple[bytes, bytes]], length: int) -> list[list[tuple[int
 
 
 def resolve(group: list[tuple], length: int) -> Iterator[tuple[bytes, int, int]]:
-    """``(text, start, stop)`` covered in a group of entries with one k-gram at their anchors.
+    """``(text, start, stop)`` covered in a group of entries with one hash and k-gram at their anchors.
 
     A span is what follows an anchor (behind the 8 hash bytes of its key) and what precedes it. Equal spans cover all
     their windows; different ones those windows that both contain.
@@ -369,7 +386,7 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -
             yield anchors(data, offsets, length)[3]
 
     with small_batches(docs.sparkSession):
-        twice = bloom.build(slim.select("sx_text"), hashes, 2 * n // (length - GRAM) + 1)
+        twice = bloom.build(slim.select("sx_text"), hashes, 6 * n // (length - GRAM) + 1)
         ranges = int(min(20_000, max(12, n // RANGE_BYTES)))
         parts = covered_parts(sorted_runs(slim, length, twice, ranges), length, ranges)
         parts = parts.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("sx_parts"))
