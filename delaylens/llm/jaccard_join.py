@@ -94,7 +94,8 @@ def block_keys(members: np.ndarray, order: Order, percent: int) -> np.ndarray:
 
 
 def described(docs: DataFrame, n: int) -> DataFrame:
-    """Per row ``(doc, size, d1, d2, bits)``, and the tasks' counters as rows with a ``block``; written once."""
+    """Per row ``(doc, text, size, d1, d2, bits)``, ``text`` being the text's MD5, and the tasks' counters as rows with a
+    ``block``; written once."""
     kind = docs.schema["js_doc"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,19 +113,19 @@ def described(docs: DataFrame, n: int) -> DataFrame:
                 np.add.at(counts, members & np.uint64(COUNTERS - 1), 1)
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column("js_doc"), pa.array(size, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
+                [batch.column("js_doc"), batch.column("js_md5"), pa.array(size, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
                  pa.array(bits, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
-                ["doc", "size", "d1", "d2", "bits", "block", "counts"])
+                ["doc", "text", "size", "d1", "d2", "bits", "block", "counts"])
         if doc_type is not None:
             parts = counts.reshape(-1, COUNTER_BLOCK)
             k = len(parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(k, doc_type), *[pa.nulls(k, pa.int64())] * 3, pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()),
+                [pa.nulls(k, doc_type), pa.nulls(k, pa.binary()), *[pa.nulls(k, pa.int64())] * 3, pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()),
                  pa.array([p.astype(np.uint32).tobytes() for p in parts])],
-                ["doc", "size", "d1", "d2", "bits", "block", "counts"])
+                ["doc", "text", "size", "d1", "d2", "bits", "block", "counts"])
 
     return written(docs.mapInArrow(
-        work, f"doc {kind}, size long, d1 long, d2 long, bits binary, block int, counts binary"), "sets")
+        work, f"doc {kind}, text binary, size long, d1 long, d2 long, bits binary, block int, counts binary"), "sets")
 
 
 def member_order(rows: DataFrame) -> Broadcast:
@@ -348,10 +349,10 @@ def dealt(rows: DataFrame, group: str, *columns: str) -> DataFrame:
     parts is a task of its own, so no task gets a large group whole. ``first`` tells the sides of such a pair.
     """
     parts = F.ceil(F.col("sets") / F.lit(BLOCK_SETS)).cast("int")
-    own = F.pmod(F.xxhash64("rep"), parts).cast("int")
+    own = F.pmod(F.xxhash64("node"), parts).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     rows = rows.select(group, F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                       (F.col("own") <= F.col("other")).alias("first"), "rep", *columns)
+                       (F.col("own") <= F.col("other")).alias("first"), "node", *columns)
     return rows.repartition(group, "p", "q").sortWithinPartitions(group, "p", "q")
 
 
@@ -364,11 +365,11 @@ def _edges(a, b) -> pa.RecordBatch:
 
 
 def possible_links(rows: DataFrame, percent: int) -> DataFrame:
-    """Edges ``(a, b)`` that connect all sets with a possible link, from rows ``(block, sets, size, bits, rep)``, by
+    """Edges ``(a, b)`` that connect all sets with a possible link, from rows ``(block, sets, size, bits, node)``, by
     signature trees alone."""
 
     def flush(k: tuple, held: list) -> Iterator[pa.RecordBatch]:
-        first, rep, size, bits = zip(*held)
+        first, node, size, bits = zip(*held)
         i, j = candidates(np.array(size), [np.frombuffer(b, np.uint64) for b in bits], percent)
         if (side := _sides(k, first)) is not None:
             ok = side[i] != side[j]
@@ -381,21 +382,21 @@ def possible_links(rows: DataFrame, percent: int) -> DataFrame:
             root = root[root]
         moved = np.flatnonzero(root != np.arange(len(held)))
         if len(moved):
-            rep = np.array(rep)
-            yield _edges(rep[root[moved]], rep[moved])
+            node = np.array(node)
+            yield _edges(node[root[moved]], node[moved])
 
     return dealt(rows, "block", "size", "bits").mapInArrow(
         lambda batches: _groups(batches, ["block", "p", "q"], flush), "a long, b long").distinct()
 
 
 def exact_links(rows: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)`` links from rows ``(family, sets, rep, members)``, as many as connect what is linked."""
+    """``(a, b)`` links from rows ``(family, sets, node, members)``, as many as connect what is linked."""
 
     def flush(k: tuple, held: list) -> Iterator[pa.RecordBatch]:
-        first, rep, members = zip(*held)
+        first, node, members = zip(*held)
         found = forest([np.frombuffer(m, np.uint64) for m in members], percent, _sides(k, first))
         if found:
-            yield _edges(*([rep[x] for x in ends] for ends in zip(*found)))
+            yield _edges(*([node[x] for x in ends] for ends in zip(*found)))
 
     return dealt(rows, "family", "members").mapInArrow(
         lambda batches: _groups(batches, ["family", "p", "q"], flush), "a long, b long")
@@ -405,37 +406,50 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int
          percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """``(rows, links)`` of the self-join of ``docs`` by Jaccard similarity of word shingles.
 
-    ``rows`` has per row of ``docs`` the key ``doc``, the set's ``size``, its ``component`` (the smallest key that
-    links reach) and ``rep`` (the smallest key with the same set). ``links`` are exact links ``(a, b)`` between
-    representatives that connect every component; pairs that they connect already are left out. Keys are integers.
+    ``rows`` has per row of ``docs`` the key ``doc``, the MD5 ``text``, the set's ``size``, its ``component`` (the
+    smallest key that links reach), ``rep`` (the smallest key with the same set) and ``first``: whether key and set are
+    those that stand for the component. ``links`` are exact links ``(a, b)`` between representatives that connect every
+    component; pairs that they connect already are left out. Keys are integers; a key may stand for several texts.
     Texts without words have size 0 and link with nothing. A row with a NULL key takes its set's component, and none
     where no row with a key has that set. Repeated rows are copies; extra columns play no part.
     """
-    docs = docs.select(F.col(key).cast("long").alias("js_doc"), F.col(text).alias("js_text"))
+    docs = docs.select(F.col(key).cast("long").alias("js_doc"), F.col(text).alias("js_text"),
+                       F.unhex(F.md5(F.col(text))).alias("js_md5"))
     rows = described(docs, n_words)
     order = member_order(rows)
-    slim = rows.where(F.col("block").isNull()).select("doc", "size", "d1", "d2", "bits")
+    slim = rows.where(F.col("block").isNull()).select("doc", "text", "size", "d1", "d2", "bits")
     n_members = slim.agg(F.sum(F.col("size") * (100 - percent) / 100 + 1)).first()[0]
     classes = slim.where("size > 0").groupBy("d1", "d2").agg(
         F.min("doc").alias("rep"), F.first("size").alias("size"), F.first("bits").alias("bits"))
-    classes = written(classes.where(F.col("rep").isNotNull()), "classes")
+    # sets are numbered, as one key may be the smallest of several
+    classes = classes.where(F.col("rep").isNotNull()).withColumn("node", F.monotonically_increasing_id())
+    classes = written(classes, "classes")
     blocks = memberships(docs, n_words, percent, order, int(n_members or 1))
     possible = written(possible_links(blocks.join(classes, ["d1", "d2"]), percent), "possible")
     # sets that possible links connect are compared as one family, so each set is sent once
     families = written(components(possible).withColumnRenamed("component", "family"), "families")
-    wanted = families.join(classes, F.col("node") == F.col("rep")).select("d1", "d2", "rep", "family")
+    wanted = families.join(classes, "node").select("d1", "d2", "node", "family")
     wanted = written(wanted.join(families.groupBy("family").agg(F.count("*").alias("sets")), "family"), "wanted")
     members = members_of(docs, wanted.select("d1", "d2"), n_words, wanted.count())
-    links = exact_links(wanted.join(members, ["d1", "d2"]).select("family", "sets", "rep", "members"), percent)
+    links = exact_links(wanted.join(members, ["d1", "d2"]).select("family", "sets", "node", "members"), percent)
     links = written(links, "links")
-    slim, classes = slim.drop("bits"), classes.select("d1", "d2", "rep")
-    found = components(links).withColumnRenamed("component", "root")
-    classes = classes.join(found, F.col("rep") == F.col("node"), "left").select(
-        F.col("d1").alias("c1"), F.col("d2").alias("c2"), "rep", F.coalesce("root", "rep").alias("component"))
-    out = slim.join(classes, (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("size") > 0), "left")
+    slim, classes = slim.drop("bits"), classes.select("node", "d1", "d2", "rep")
+    found = written(components(links).join(classes, "node"), "found")
+    tops = found.groupBy("component").agg(F.min(F.struct("rep", "d1", "d2")).alias("top"))
+    found = found.join(tops, "component").select("node", "top")
+    own = F.struct("rep", "d1", "d2")
+    named = classes.join(found, "node", "left").select(
+        F.col("d1").alias("c1"), F.col("d2").alias("c2"), "rep", F.coalesce("top.rep", "rep").alias("component"),
+        F.coalesce(F.col("top") == own, F.lit(True)).alias("top"))
+    out = slim.join(named, (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("size") > 0), "left")
     empty = F.when(F.col("size") == 0, F.col("doc"))
-    return out.select("doc", "size", F.coalesce("component", empty).alias("component"),
-                      F.coalesce("rep", empty).alias("rep")), links
+    out = out.select("doc", "text", "size", F.coalesce("component", empty).alias("component"),
+                     F.coalesce("rep", empty).alias("rep"),
+                     (F.col("component").isNull() | F.col("top") & F.col("doc").eqNullSafe(F.col("component"))).alias("first"))
+    key_of = classes.select("node", "rep")
+    links = links.join(key_of.toDF("a", "from"), "a").join(key_of.toDF("b", "to"), "b").select(
+        F.col("from").alias("a"), F.col("to").alias("b"))
+    return out, links
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int = N_WORDS,
@@ -443,11 +457,13 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n_word
     """``docs`` with one row of each component: that with the smallest key (repeated rows of it are one).
 
     Rows without words are no one's copy and all stay; so do rows whose key is NULL and whose set no keyed row has.
+    Each row is judged by its key and text, so rows that share a key, or have none, don't take each other along.
     """
     rows, _ = join(docs, key, text, n_words, percent)
-    gone = rows.where((F.col("size") > 0) & F.col("component").isNotNull() & ~F.col("doc").eqNullSafe(F.col("component")))
-    gone = written(gone.select(F.col("doc").alias("js_gone")).distinct(), "copies")
-    left = docs.join(gone, F.col(key).eqNullSafe(F.col("js_gone")), "left_anti")
+    gone = rows.where(~F.col("first")).select(F.col("doc").alias("js_gone"), F.col("text").alias("js_md5"))
+    gone = written(gone.distinct(), "copies")
+    left = docs.join(gone, F.col(key).eqNullSafe(F.col("js_gone")) & (F.unhex(F.md5(F.col(text))) == F.col("js_md5")),
+                     "left_anti")
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -120,6 +120,24 @@ def test_jaccard_on_odd_rows(docs, empty):
     assert rows.isEmpty() and links.isEmpty()
 
 
+def test_one_of_each_judges_rows_not_keys(docs, spark):
+    kept = sorted(((r.doc_id, r.text) for r in jaccard_join.one_of_each(docs).collect()), key=str)
+    gone = [(3, LONG), (None, LONG), (8, f"three\n{LINE}"), (9, LINE), (12, "a b c"), (13, "A B c")]  # 8 and 9 are near 5
+    assert kept == sorted(((r.doc_id, r.text) for r in docs.collect() if (r.doc_id, r.text) not in gone), key=str)
+    words = [f"w{i}" for i in range(100)]
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(100)) for x in "abcd")
+    near_c, near_d = c + " more", d + " more"
+    rows = [(5, a), (9, a), (3, b), (5, b), (7, c), (7, near_c), (None, c), (None, " ".join(words)), (None, ""),
+            (1, d), (20, near_d), (20, "another text of this key"), (3, near_d + " and")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [(r.doc_id, r.text) for r in jaccard_join.one_of_each(table).collect()]
+    assert len([k for k in kept if k in ((7, c), (7, near_c))]) == 1
+    expected = [(5, a), (3, b), (None, " ".join(words)), (None, ""), (1, d), (20, "another text of this key")]
+    assert sorted((k for k in kept if k[0] != 7), key=str) == sorted(expected, key=str)
+    found = {(r.doc, r.size): r.component for r in jaccard_join.join(table)[0].where("doc = 20 OR doc = 9").collect()}
+    assert found == {(20, 97): 1, (20, 1): 20, (9, 96): 5}
+
+
 def test_jaccard_splits_large_blocks(spark, monkeypatch):
     rng = np.random.default_rng(3)
     base = [f"w{i}" for i in range(120)]
