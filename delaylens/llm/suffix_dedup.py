@@ -12,6 +12,7 @@ with the last one put out, and compare only what lies beyond.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from collections.abc import Iterator
 
@@ -31,6 +32,9 @@ LENGTH, GRAM = 400, 32
 PIECE, RUN_BYTES, RANGE_BYTES, RANGES_PER_TASK = 1 << 22, 6 << 20, 4 << 20, 4
 #: Distinct spans of a group up to which pairs are compared; larger groups are swept by distance.
 PAIRWISE = 48
+#: Front-coded bytes that the merge takes in one range, or this many times the mean if that is more; the windows of a
+#: larger range are counted by Spark.
+HOT_BYTES, HOT_TIMES = 16 << 20, 4
 
 _SPREAD = mix64(np.arange(1, 257, dtype=np.uint64))
 _AT = np.uint64((1 << 24) - 1)
@@ -369,6 +373,57 @@ def covered_parts(runs: DataFrame, length: int, ranges: int) -> DataFrame:
     return dealt.mapInArrow(work, FOUND).select("text", "start", "stop").distinct()
 
 
+def hot_ranges(runs: DataFrame, ranges: int) -> list[int]:
+    """Ranges with more than the merge should take in one task: passages that very many texts hold."""
+    sizes = runs.where(F.col("run").isNotNull()).groupBy("range").agg(F.sum(F.octet_length("run")).alias("n")).collect()
+    most = max(HOT_BYTES, HOT_TIMES * sum(r["n"] for r in sizes) / ranges)
+    return [r["range"] for r in sizes if r["n"] > most]
+
+
+def counted_parts(runs: DataFrame, length: int) -> DataFrame:
+    """``(text, start, stop)`` from runs of any size, by counts of equal windows; no task holds a group.
+
+    A span has at most a quarter of ``length`` windows, which go by 128-bit hashes.
+    """
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for run in batch.column("run"):
+                rows = []
+                for _, key, left, many, text, at in decode(run.as_py()):
+                    whole = left[::-1] + key[8:]
+                    for i in range(len(whole) - length + 1):
+                        h = hashlib.blake2b(whole[i:i + length], digest_size=16).digest()
+                        rows.append((h, bool(many), text, at - len(left) + i))
+                    if len(rows) > 20_000:
+                        yield named(rows)
+                        rows = []
+                if rows:
+                    yield named(rows)
+
+    def named(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.binary(), pa.bool_(), pa.binary(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["win", "many", "text", "start"])
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text, block, bits in zip(*(batch.column(c).to_pylist() for c in ("text", "block", "bits"))):
+                own = np.unpackbits(np.array([bits], np.int64).view(np.uint8), bitorder="little")
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], own, [0]]).astype(np.int8)))
+                rows += [(text, 64 * block + lo, 64 * block + hi - 1 + length)
+                         for lo, hi in zip(edge[::2].tolist(), edge[1::2].tolist())]
+            if rows:
+                kinds = (pa.binary(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["text", "start", "stop"])
+
+    found = written(runs.mapInArrow(windows, "win binary, many boolean, text binary, start long"), "windows")
+    twice = found.groupBy("win").agg(F.count("*").alias("n"), F.max("many").alias("again")).where("n > 1 OR again")
+    marks = found.join(twice.select("win"), "win").groupBy("text", F.expr("start div 64").alias("block")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(start % 64 AS INT)))").alias("bits"))
+    return marks.mapInArrow(ranges, "text binary, start long, stop long")
+
+
 def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` with ``sx_bytes``, ``sx_removed``, ``sx_spans`` and ``sx_kept`` (binary) added.
 
@@ -388,7 +443,14 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -
     with small_batches(docs.sparkSession):
         twice = bloom.build(slim.select("sx_text"), hashes, 6 * n // (length - GRAM) + 1)
         ranges = int(min(20_000, max(12, n // RANGE_BYTES)))
-        parts = covered_parts(sorted_runs(slim, length, twice, ranges), length, ranges)
+        runs = sorted_runs(slim, length, twice, ranges)
+        hot = hot_ranges(runs, ranges)
+        if hot:
+            is_hot = F.coalesce(F.col("range").isin(hot), F.lit(False))
+            parts = covered_parts(runs.where(~is_hot), length, ranges)
+            parts = parts.union(counted_parts(runs.where(is_hot), length)).distinct()
+        else:
+            parts = covered_parts(runs, length, ranges)
         parts = parts.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("sx_parts"))
         parts = written(parts.withColumnRenamed("text", "sx_covered"), "covered")
     rows = docs.withColumn("sx_id", F.unhex(F.md5(F.col(text)))).join(

@@ -208,6 +208,32 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, pairwise, piece):
         assert got[d].sx_spans == (np.diff(np.append(False, gone).astype(int)) == 1).sum()
 
 
+def test_suffix_dedup_keeps_hot_passages_out_of_the_merge(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    text = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 20, n))
+    passage, other = text(395), text(450)
+    texts = [text(260) + passage + text(260) for _ in range(150)] + [passage + text(300)] * 2
+    texts += [text(300) + other + text(50) for _ in range(2)]
+    texts += [texts[0][100:] + text(90), text(70) + texts[1][:500], texts[2][180:620] + text(9)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    most, merged, real = 6_000, [], suffix_dedup.covered_parts
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", most, raising=False)
+    monkeypatch.setattr(suffix_dedup, "HOT_TIMES", 0, raising=False)
+
+    def watched(runs, length, ranges):
+        sizes = runs.where("run IS NOT NULL").groupBy("range").agg(F.sum(F.octet_length("run")).alias("n"))
+        merged.append(sizes.agg(F.max("n")).first()[0] or 0)
+        return real(runs, length, ranges)
+
+    monkeypatch.setattr(suffix_dedup, "covered_parts", watched)
+    got = {r.doc_id: r for r in suffix_dedup.without_repeats(rows).collect()}
+    assert merged and 0 < max(merged) <= most, merged
+    raw = [t.encode() for t in texts]
+    for d, (t, gone) in enumerate(zip(raw, removed_bytes(raw, 400))):
+        assert bytes(got[d].sx_kept) == np.frombuffer(t, np.uint8)[~gone].tobytes(), d
+        assert got[d].sx_removed == gone.sum()
+
+
 def test_loser_tree_merges_and_knows_what_is_shared():
     rng = np.random.default_rng(6)
     runs = [sorted(bytes(rng.integers(97, 100, rng.integers(1, 12))) for _ in range(n)) for n in (0, 1, 7, 30, 30)]
