@@ -169,6 +169,20 @@ def b14(t: Tables):
     return clean.remove_outliers_iqr_all(t.flights.select("FLIGHT_ID", *columns), columns)
 
 
+def fences_sql(columns: list[str], k: float) -> str:
+    """Each column's fences on the rows that passed the columns before."""
+    steps = "".join(f"""
+, f{i} AS MATERIALIZED ({fence_sql(c, k, f"s{i - 1}" if i else "flights")}),
+s{i} AS MATERIALIZED (SELECT r.* FROM {f"s{i - 1}" if i else "flights"} r, f{i} WHERE {c} BETWEEN lo AND hi)"""
+                    for i, c in enumerate(columns))
+    return f"{steps}\nSELECT FLIGHT_ID, {', '.join(columns)} FROM s{len(columns) - 1}"
+
+
+@query("b14_remove_outliers_iqr_all_columns", fences_sql(NUMERIC, 1.5))
+def b14_all_columns(t: Tables):
+    return clean.remove_outliers_iqr_all(t.flights.select("FLIGHT_ID", *NUMERIC), NUMERIC)
+
+
 @query("b14_remove_outliers_joint", f"""
 , f1 AS ({fence_sql("l_quantity", 0.25, "lineitem")}), f2 AS ({fence_sql("l_extendedprice", 0.25, "lineitem")})
 SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem, f1, f2

@@ -31,3 +31,15 @@ def test_entry_and_registration():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_outlier_fences_on_every_numeric_column(tables):
+    from delaylens.catalog.cleaning import NUMERIC
+
+    rows = tables.flights.select("FLIGHT_ID", *NUMERIC).toPandas()
+    for c in NUMERIC:
+        low, high = rows[c].quantile(0.25), rows[c].quantile(0.75)
+        rows = rows[(rows[c] >= low - 1.5 * (high - low)) & (rows[c] <= high + 1.5 * (high - low))]
+    found = QUERIES["b14_remove_outliers_iqr_all_columns"](tables)
+    assert found.columns == ["FLIGHT_ID", *NUMERIC] and len(NUMERIC) == 23
+    assert sorted(r.FLIGHT_ID for r in found.select("FLIGHT_ID").collect()) == sorted(rows.FLIGHT_ID) != []
