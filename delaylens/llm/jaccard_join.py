@@ -264,16 +264,17 @@ class Tree:
 def candidates(size: np.ndarray, bits: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Candidate pairs of sets with bitmaps of any widths.
 
-    Sets that can link have the same width or neighbouring ones: a tree per width also holds the sets of the next,
-    their bitmaps folded to half.
+    Sets that can link are at most as many widths apart as their sizes' ratio allows, one from 50 percent on: a tree
+    per width also holds the sets of the next ones, their bitmaps folded.
     """
+    apart = int(np.ceil(np.log2(100 / percent)))
     width = np.array([len(b) for b in bits])
     found = []
     for w in np.unique(width):
-        own = np.flatnonzero((width == w) | (width == 2 * w))
+        own = np.flatnonzero((width >= w) & (width <= w << apart))
         if len(own) < 2:
             continue
-        folded = np.stack([bits[i] if len(bits[i]) == w else bits[i][:w] | bits[i][w:] for i in own])
+        folded = np.stack([np.bitwise_or.reduce(bits[i].reshape(-1, w), axis=0) for i in own])
         i, j = Tree(size[own], folded).candidates(percent)
         i, j = own[i], own[j]
         ok = (width[i] == w) | (width[j] == w)

@@ -169,6 +169,15 @@ def test_tree_never_rules_out_a_link():
     assert links and links <= pairs and len(pairs) < len(sets) ** 2 / 8
 
 
+@pytest.mark.parametrize("percent, small", [(40, 31), (20, 31), (10, 20), (80, 60)])
+def test_candidates_of_widths_far_apart(percent, small):
+    large = np.unique(np.random.default_rng(7).integers(0, 1 << 63, small * 100 // percent, dtype=np.uint64))
+    sets = [large[:small], large]
+    assert jaccard_join.linked(*sets, percent)
+    i, j = jaccard_join.candidates(np.array([len(s) for s in sets]), [jaccard_join.bitmap(s) for s in sets], percent)
+    assert sorted((*i.tolist(), *j.tolist())) == [0, 1]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200), (300, 299)]
     rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
