@@ -12,7 +12,7 @@ from delaylens.llm import (bloom, jaccard_join, line_dedup, mixing, nearest, pie
                            quality_rules, resharding, suffix_dedup, warc)
 from delaylens.llm.components import components
 
-from test_checks import link_components, removed_bytes
+from test_llm_checks import link_components, removed_bytes
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, n int, size string, h string, "
           "doc string, block int, rank int, key string, score string, s int, p int, shard string, members string")
