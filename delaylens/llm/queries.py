@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import byte_bpe, fill_in_middle, jaccard_join, line_dedup, mixing, nearest, piece_sampling, quality_classifier, quality_rules, resharding, suffix_dedup, warc
+from . import byte_bpe, fill_in_middle, jaccard_join, line_dedup, mixing, nearest, periodic_runs, piece_sampling, quality_classifier, quality_rules, resharding, suffix_dedup, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,7 @@ QUERIES["op8_reshard"] = _on("documents", resharding.digest)
 QUERIES["op9_nearest"] = _on("embeddings", nearest.digest)
 QUERIES["op10_quality_classifier"] = lambda spark, folder: quality_classifier.digest(
     read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+QUERIES["op11_periodic_runs"] = _on("documents", periodic_runs.digest)
 QUERIES["op12_fill_in_middle"] = _on("documents", fill_in_middle.digest)
 QUERIES["op13_byte_bpe"] = _on("documents", byte_bpe.digest)
 QUERIES["pipeline"] = corpus_pipeline.run
