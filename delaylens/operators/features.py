@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import times as t
 from .lookup import lookup_map
@@ -113,17 +113,17 @@ def airport_congestion(df: DataFrame, window: int = 60, date: str = "FL_DATE", p
 
 def fit_delay_propensity(df: DataFrame, key: str, label: str) -> DataFrame:
     """Mean label per key, with the overall mean in the row whose key is NULL."""
-    return _with_overall(df, key, F.avg(label))
+    return _with_overall(df, key, F.avg(label).alias("score"))
 
 
 def fit_delay_severity(df: DataFrame, key: str, delay: str = "ARR_DELAY") -> DataFrame:
     """Mean positive delay per key, with the overall mean in the row whose key is NULL."""
-    return _with_overall(df.where(F.col(delay) > 0), key, F.avg(delay))
+    return _with_overall(df.where(F.col(delay) > 0), key, F.avg(delay).alias("score"))
 
 
-def _with_overall(df: DataFrame, key: str, measure) -> DataFrame:
+def _with_overall(df: DataFrame, key: str, *measures: Column) -> DataFrame:
     """Per-key and overall scores from one scan."""
-    scores = df.rollup(key).agg(measure.alias("score"), F.grouping_id().alias("__overall"))
+    scores = df.rollup(key).agg(*measures, F.grouping_id().alias("__overall"))
     return scores.where((F.col("__overall") == 1) | F.col(key).isNotNull()).drop("__overall")
 
 
@@ -135,6 +135,26 @@ def apply_group_score(df: DataFrame, key: str, fitted: DataFrame, target: str) -
                       defaults={target: overall["score"] if overall else None}, is_bounded=True)
 
 
+def fit_fold_scores(df: DataFrame, key: str, value: Column, fold: str, folds: int) -> DataFrame:
+    """The mean ``value`` per key over the rows outside each fold, as ``score_<fold>``, from one scan.
+
+    The row whose key is NULL has the overall means.
+    """
+    return _with_overall(df, key, *[F.avg(F.when(F.col(fold) != i, value)).alias(f"score_{i}") for i in range(folds)])
+
+
+def apply_fold_scores(df: DataFrame, key: str, fitted: DataFrame, target: str, folds: int) -> DataFrame:
+    """Attach ``<target>_<fold>`` per fold: a model that holds the fold out sees nothing of that fold's values.
+
+    A key without rows outside a fold gets the overall mean outside it.
+    """
+    table = bounded(fitted)
+    overall = table.where(F.col(key).isNull()).first()
+    names = {f"score_{i}": f"{target}_{i}" for i in range(folds)}
+    return lookup_map(df, key, table.where(F.col(key).isNotNull()), names,
+                      defaults={t: overall[s] if overall else None for s, t in names.items()}, is_bounded=True)
+
+
 def delay_propensity(df: DataFrame, label: str, key: str = "ORIGIN", target: str = "ADP",
                      fit_on: DataFrame | None = None) -> DataFrame:
     return apply_group_score(df, key, fit_delay_propensity(df if fit_on is None else fit_on, key, label), target)

@@ -27,6 +27,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` named, once nothing reads it any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
                 mode: str = "overwrite", max_records: int = 5_000_000) -> str:
     """Write one file per task and partition value; nothing is merged into a single file."""
