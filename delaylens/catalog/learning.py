@@ -104,7 +104,7 @@ def m8_dropout(t: Tables):
 @query("m9_neural_regressor")
 def m9(t: Tables):
     rows = learning_rows(t)
-    fitted = neural.fit_network(part(rows, "train"), FIVE, "ARR_DELAY", neural.Net(len(FIVE), (64, 32)),
+    fitted = neural.fit_network(part(rows, "train"), FIVE, "ARR_DELAY", neural.Net(len(FIVE), (64, 32), rate=3e-3),
                                 part(rows, "val"), 12, 3, "mae")
     return settled(rows, evaluate.regression_metrics(fitted.transform(part(rows, "test")), "ARR_DELAY", "prediction", "Network"))
 
@@ -158,7 +158,7 @@ def m12_network(t: Tables):
 @query("m13_kfold_network_search")
 def m13(t: Tables):
     rows = learning_rows(t)
-    settings = [{"hidden": (64, 32), "batch": 64, "epochs": 3}, {"hidden": (64, 64), "batch": 64, "epochs": 3}]
+    settings = [{"hidden": h, "batch": 64, "epochs": 3, "rate": 1e-2} for h in ((64, 32), (64, 64))]
     _, table = neural.kfold_network_search(part(rows, "train"), part(rows, "val"), FIVE, "ARR_DELAY", settings, k=3)
     return settled(rows, table)
 
@@ -294,6 +294,32 @@ def x6(t: Tables):
     return settled(rows, explain.shap_summary(found))
 
 
+def embedding_network(t: Tables):
+    """A network on twenty embedding elements, and its rows."""
+    rows = spread(classification_sample(t.spark, t.folder))
+    net = neural.Net(20, (64, 32), "classification", 0.0, 3e-3, 32)
+    return rows, neural.fit_network(rows, TWENTY, "target", net, epochs=8, key="vec_id")
+
+
+@query("x6_network_shap")
+def x6_network(t: Tables):
+    rows, fitted = embedding_network(t)
+    return settled(rows, explain.shap_summary(explain.network_shap(rows, "vec_id", fitted, rows, "vec_id")))
+
+
+@query("x6_network_shap_adds_up", f"""
+SELECT vec_id, 20::BIGINT AS features, true AS adds_up FROM embeddings
+WHERE {" AND ".join(f"embedding[{i + 1}] IS NOT NULL" for i in range(20))}
+""", native=True)
+def x6_adds_up(t: Tables):
+    """Whether base and attributions give each row's score to 1e-6."""
+    rows, fitted = embedding_network(t)
+    total = explain.network_shap(rows, "vec_id", fitted, rows, "vec_id").groupBy("vec_id").agg(
+        F.count("*").alias("features"), (F.sum("phi") + F.first("base")).alias("total"))
+    scored = fitted.transform(rows.select("vec_id", *TWENTY), "score").join(total, "vec_id")
+    return released(rows, scored.select("vec_id", "features", (F.abs(F.col("score") - F.col("total")) <= 1e-6).alias("adds_up")))
+
+
 @query("late_flight_run")
 def late_flight_run(t: Tables):
     settings = late_flights.LateFlightSettings(epochs=8, logistic_iterations=40)

@@ -70,7 +70,7 @@ def test_network_gradient_matches_differences():
 
 def test_network_learns_and_stops(rows):
     train, val, test = (part(rows, p) for p in ("train", "val", "test"))
-    net = neural.Net(len(FIVE), (32,), rate=1e-2, batch=16)
+    net = neural.Net(len(FIVE), (32,), rate=1e-2, batch=512)
     fitted = neural.fit_network(train, FIVE, "ARR_DELAY", net, val, 15, 3, "mae")
     mae = evaluate.regression_metrics(fitted.transform(test), "ARR_DELAY", "prediction").first()["MAE"]
     mean = evaluate.regression_metrics(models.mean_baseline(test, train, "ARR_DELAY"), "ARR_DELAY", "prediction").first()["MAE"]
@@ -79,6 +79,81 @@ def test_network_learns_and_stops(rows):
     assert curve[-1]["mae"] < curve[0]["mae"]
 
 
+@pytest.mark.parametrize("dropout", [0.0, 0.2])
+def test_network_weights_for_any_partitioning(spark, dropout):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 3))
+    y = (x[:, 0] * x[:, 1] > 0).astype(int)
+    df = spark.createDataFrame([(i, *map(float, r), int(v)) for i, (r, v) in enumerate(zip(x, y))], "id int, a double, b double, c double, y int")
+    net = neural.Net(3, (8, 4), "classification", dropout, 1e-2, 100)
+    found = [neural.fit_network(df.repartition(n), ["a", "b", "c"], "y", net, epochs=3, key="id") for n in (1, 4, 16)]
+    for other in found[1:]:
+        assert np.abs(found[0].weights - other.weights).max() < 1e-8
+        assert other.history == [pytest.approx(h) for h in found[0].history]
+
+
+def test_network_steps_equal_adam_on_whole_batches(spark):
+    """One step an epoch: the weights of plain Adam on the mean gradient of all rows."""
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(200, 2)), rng.normal(size=200)
+    df = spark.createDataFrame([(float(a), float(b), float(v)) for (a, b), v in zip(x, y)], "a double, b double, y double")
+    net = neural.Net(2, (5,), rate=1e-2, batch=200)
+    fitted = neural.fit_network(df.repartition(3), ["a", "b"], "y", net, epochs=6, patience=99, seed=1)
+    flat, first, second, losses = net.start(1), np.zeros(net.size), np.zeros(net.size), []
+    for k in range(1, 8):
+        losses.append(((net.forward(flat, x)[0] - y) ** 2).mean())
+        g = net.gradient(flat, x, y, np.ones(200), None)
+        first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
+        flat = flat - 1e-2 * (first / (1 - 0.9 ** k)) / (np.sqrt(second / (1 - 0.999 ** k)) + 1e-8)
+    assert [h[2] for h in fitted.history] == pytest.approx(losses)
+
+
+def exhaustive(net, weights, x, background, output):
+    """Shapley values of one row by all coalitions, averaged over background rows."""
+    d, phi = len(x), np.zeros(len(x))
+    value = {}
+    for n in range(d + 1):
+        for s in combinations(range(d), n):
+            points = background.copy()
+            points[:, list(s)] = x[list(s)]
+            value[s] = output(points).mean()
+    for i in range(d):
+        for n in range(d):
+            for s in combinations([j for j in range(d) if j != i], n):
+                share = factorial(n) * factorial(d - n - 1) / factorial(d)
+                phi[i] += share * (value[tuple(sorted((*s, i)))] - value[s])
+    return phi
+
+
+@pytest.mark.parametrize("apart", [True, False])
+def test_network_attributions(spark, apart):
+    """On six features: equal to all coalitions where units don't join features, near them elsewhere; always additive."""
+    rng = np.random.default_rng(8)
+    names = list("abcdef")
+    net = neural.Net(6, (12,) if apart else (10, 6), "classification")
+    weights = rng.normal(scale=0.6, size=net.size)
+    if apart:
+        weights[:72] *= np.kron(np.eye(6), np.ones(2)).ravel()  # two units for each feature
+    x = rng.normal(size=(12, 6))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id int, " + ", ".join(f"{c} double" for c in names))
+    df = df.union(spark.createDataFrame([(99, None, *[0.0] * 5)], df.schema))
+    fitted = neural.FittedNet(net, names, weights)
+    background = df.where("id >= 4")
+    found = explain.network_shap(df, "id", fitted, background, "id", probability=False).toPandas()
+    assert set(found.id) == set(range(12))
+    logit = lambda points: np.log(net.forward(weights, points)[0] / (1 - net.forward(weights, points)[0]))
+    for i, own in found.groupby("id"):
+        phi = own.set_index("feature").phi[names].to_numpy()
+        assert phi.sum() + own.base.iloc[0] == pytest.approx(logit(x[i:i + 1])[0], abs=1e-6)
+        want = exhaustive(net, weights, x[i], x[4:], logit)
+        if apart:
+            assert phi == pytest.approx(want, abs=1e-6)
+        else:
+            assert np.abs(phi - want).max() < 0.35 * np.abs(want).max() + 0.05
+    scores = explain.network_shap(df, "id", fitted, background, "id").groupBy("id").agg((F.sum("phi") + F.first("base")).alias("s"))
+    assert {r["id"]: r["s"] for r in scores.collect()} == pytest.approx(dict(enumerate(net.forward(weights, x)[0])), abs=1e-6)
+
+
 def test_perceptron_ladder(rows):
     train = part(rows, "train")
     model, curve = models.perceptron_ladder(train, part(rows, "val"), "LATE", [8], (10, 20))
