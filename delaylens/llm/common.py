@@ -8,7 +8,7 @@ from contextlib import contextmanager
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..sources.stores import scratch_path
+from ..sources.stores import remove_path, scratch_path
 
 #: White space that ends a word: blank, and tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -29,7 +29,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` returned, once nothing reads them any more."""
+    for df in tables:
+        remove_path(df.sparkSession, df.written_to)
 
 
 def small_enough(df: DataFrame, size: Column, limit: int = BROADCAST_BYTES) -> bool:

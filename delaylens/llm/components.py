@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import released, written
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``(node, component)`` for every node of ``edges(a, b)``; the component is its smallest node.
+    """``(node, component)`` for every node of ``edges(a, b)``; the component is its smallest node. The result reads one
+    written table, which the caller may release.
 
     Alternates two steps until nothing changes: every node ties its larger neighbours to its smallest one, then its
     smaller neighbours and itself. Neighbourhoods are only ever reduced to a minimum and joined with it, so a node
@@ -26,8 +27,11 @@ def components(edges: DataFrame) -> DataFrame:
         small = small.union(least.select("u", F.col("m").alias("v"))).distinct()
         new = written(small, "edges")
         sums = [d.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first() for d in (pairs, new)]
+        released(pairs)
         pairs = new
         if tuple(sums[0]) == tuple(sums[1]):
             break
-    return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+    found = pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    found.written_to = pairs.written_to
+    return found

@@ -16,7 +16,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from . import bloom
-from .common import written
+from .common import released, written
 from .components import components
 from .textbytes import chunks, mix64, ngram_hashes, word_hashes, words
 
@@ -150,8 +150,9 @@ def member_order(rows: DataFrame) -> Broadcast:
 
 # --- blocks ----------------------------------------------------------------------------------------
 
-def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast, n_members: int) -> DataFrame:
-    """``(block, d1, d2, sets)``: which sets meet in which block of ``sets`` sets.
+def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast,
+                n_members: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``(block, d1, d2, sets)``: which sets meet in which block of ``sets`` sets; and the written tables it reads.
 
     A prefix member that the twice-seen filter rules out is in no other prefix. Blocks with the same sets are one.
     """
@@ -187,7 +188,7 @@ def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast, n_membe
     alike = [F.bit_xor(F.xxhash64("d1", "d2", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
     blocks = rows.groupBy("token").agg(F.count("*").alias("sets"), *alike).where("sets > 1")
     blocks = written(blocks.groupBy("sets", "x1", "x2").agg(F.min("token").alias("block")).select("block", "sets"), "blocks")
-    return rows.join(blocks, F.col("token") == F.col("block")).select("block", "d1", "d2", "sets")
+    return rows.join(blocks, F.col("token") == F.col("block")).select("block", "d1", "d2", "sets"), [rows, blocks]
 
 
 def members_of(docs: DataFrame, wanted: DataFrame, n: int, n_wanted: int) -> DataFrame:
@@ -425,17 +426,22 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int
     # sets are numbered, as one key may be the smallest of several
     classes = classes.where(F.col("rep").isNotNull()).withColumn("node", F.monotonically_increasing_id())
     classes = written(classes, "classes")
-    blocks = memberships(docs, n_words, percent, order, int(n_members or 1))
+    blocks, read = memberships(docs, n_words, percent, order, int(n_members or 1))
     possible = written(possible_links(blocks.join(classes, ["d1", "d2"]), percent), "possible")
+    released(*read)
     # sets that possible links connect are compared as one family, so each set is sent once
-    families = written(components(possible).withColumnRenamed("component", "family"), "families")
+    connected = components(possible)
+    families = written(connected.withColumnRenamed("component", "family"), "families")
     wanted = families.join(classes, "node").select("d1", "d2", "node", "family")
     wanted = written(wanted.join(families.groupBy("family").agg(F.count("*").alias("sets")), "family"), "wanted")
     members = members_of(docs, wanted.select("d1", "d2"), n_words, wanted.count())
     links = exact_links(wanted.join(members, ["d1", "d2"]).select("family", "sets", "node", "members"), percent)
     links = written(links, "links")
+    released(possible, connected, families, wanted)
     slim, classes = slim.drop("bits"), classes.select("node", "d1", "d2", "rep")
-    found = written(components(links).join(classes, "node"), "found")
+    connected = components(links)
+    found = written(connected.join(classes, "node"), "found")
+    released(connected)
     tops = found.groupBy("component").agg(F.min(F.struct("rep", "d1", "d2")).alias("top"))
     found = found.join(tops, "component").select("node", "top")
     own = F.struct("rep", "d1", "d2")
