@@ -24,7 +24,7 @@ N_WORDS, PERCENT = 5, 80
 #: Counters by which members are ordered from rare to frequent; sets in a part of a block; largest bitmap; fan of trees.
 COUNTERS, COUNTER_BLOCK = 1 << 18, 1 << 12
 BLOCK_SETS = 1024
-MOST_BITS, FAN = 1 << 15, 8
+MOST_BITS, FAN = 1 << 13, 8
 
 
 # --- sets ------------------------------------------------------------------------------------------
@@ -55,9 +55,12 @@ def set_digest(members: np.ndarray) -> tuple[int, int]:
 
 
 def bitmap(members: np.ndarray) -> np.ndarray:
-    """At least two bits per member, up to the largest bitmap; a power of two, so that halves can be folded."""
+    """At least a bit per member, up to the largest bitmap; a power of two, so that halves can be folded.
+
+    Sets of one bit per member still overlap in too few bits to link unless they do; bitmaps travel with each block.
+    """
     width = 64
-    while width < min(MOST_BITS, 2 * len(members)):
+    while width < min(MOST_BITS, len(members)):
         width *= 2
     p = (members >> np.uint64(24)) & np.uint64(width - 1)
     bits = np.zeros(width, np.uint8)
