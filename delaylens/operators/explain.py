@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import factorial
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -101,29 +99,85 @@ def ensemble_leaves(model) -> list[Leaf]:
     return [leaf for tree, w in zip(trees, weights) for leaf in tree_leaves(tree, w, positive)]
 
 
-def attribute_leaf(leaf: Leaf, x: np.ndarray, phi: np.ndarray) -> None:
-    """Add the exact Shapley values of one leaf for a block of rows.
+@dataclass(frozen=True)
+class Split:
+    """An inner node; a child is a node or a leaf's value. ``left_share`` of the node's rows went left."""
+
+    feature: int
+    cut: float
+    left: "Split | float"
+    right: "Split | float"
+    left_share: float
 
-    With m path features the leaf pays ``value * prod(inside or share)``. For feature i the coalitions of
-    the others are the coefficients of ``prod(share_j + inside_j t)``, weighted by s!(m-s-1)!/m!.
+
+def ensemble_trees(model) -> list["Split | float"]:
+    """The trees of ``ensemble_leaves``, node by node."""
+    name = type(model).__name__
+    trees = model.trees if hasattr(model, "trees") else [model]
+    weights = model.treeWeights if name.startswith("GBT") else [1.0 / len(trees)] * len(trees)
+    positive = name in ("RandomForestClassificationModel", "DecisionTreeClassificationModel")
+
+    def read(node, weight: float):
+        if node.getClass().getSimpleName() == "LeafNode":
+            counts = list(node.impurityStats().stats())
+            return weight * (counts[1] / sum(counts) if positive else node.prediction())
+        split = node.split()
+        share = node.leftChild().impurityStats().count() / node.impurityStats().count()
+        return Split(split.featureIndex(), split.threshold(), read(node.leftChild(), weight), read(node.rightChild(), weight), share)
+
+    return [read(tree._call_java("rootNode"), w) for tree, w in zip(trees, weights)]
+
+
+def extended(weights: np.ndarray, share: float, inside: np.ndarray) -> np.ndarray:
+    """Coalition weights by size, after one more feature joined the path."""
+    n = len(weights)
+    size = np.arange(n)[:, None]
+    out = np.zeros((n + 1, weights.shape[1]))
+    out[:n] = share * weights * (n - size) / (n + 1)
+    out[1:] += inside * weights * (size + 1) / (n + 1)
+    return out
+
+
+def unwound(weights: np.ndarray, share: float, inside: np.ndarray) -> np.ndarray:
+    """The sum of the coalition weights without one feature of the path, taken back step by step."""
+    last = len(weights) - 1
+    carried, total = weights[last], np.zeros(weights.shape[1])
+    for j in range(last - 1, -1, -1):
+        one = carried * (last + 1) / (j + 1)
+        total += np.where(inside, one, weights[j] * (last + 1) / (share * (last - j)))
+        carried = weights[j] - one * share * (last - j) / (last + 1)
+    return total
+
+
+def attribute_tree(node: "Split | float", x: np.ndarray, phi: np.ndarray, path: dict[int, tuple[float, np.ndarray]],
+                   weights: np.ndarray) -> None:
+    """Add the exact attributions of all leaves below ``node`` for a block of rows.
+
+    Leaves share the weights of the path that leads to them. A feature that comes again is merged with its earlier
+    split, and the weights of the path are made anew.
     """
-    m = len(leaf.feature)
-    inside = (x[:, leaf.feature] > leaf.low) & (x[:, leaf.feature] <= leaf.high)
-    sizes = np.array([factorial(s) * factorial(m - s - 1) / factorial(m) for s in range(m)])
-    for i in range(m):
-        poly = np.zeros((len(x), m))
-        poly[:, 0] = 1.0
-        for j in range(m):
-            if j != i:
-                poly[:, 1:] = poly[:, 1:] * leaf.share[j] + poly[:, :-1] * inside[:, j:j + 1]
-                poly[:, 0] *= leaf.share[j]
-        phi[:, leaf.feature[i]] += leaf.value * (inside[:, i] - leaf.share[i]) * (poly @ sizes)
+    if not isinstance(node, Split):
+        for feature, (share, inside) in path.items():
+            phi[:, feature] += node * (inside - share) * unwound(weights, share, inside)
+        return
+    left = x[:, node.feature] <= node.cut
+    before = path.get(node.feature)
+    for child, goes, part in ((node.left, left, node.left_share), (node.right, ~left, 1 - node.left_share)):
+        share, inside = (part, goes) if before is None else (before[0] * part, before[1] & goes)
+        own = {**path, node.feature: (share, inside)}
+        if before is None:
+            new = extended(weights, share, inside)
+        else:
+            new = np.ones((1, len(x)))
+            for s, i in own.values():
+                new = extended(new, s, i)
+        attribute_tree(child, x, phi, own, new)
 
 
 def tree_shap(df: DataFrame, key: str, model, names: list[str]) -> DataFrame:
     """Path-dependent attributions of a tree ensemble; phi and base add up to its raw output per row."""
-    leaves = ensemble_leaves(model)
-    base = float(sum(leaf.value * leaf.share.prod() for leaf in leaves))
+    base = float(sum(leaf.value * leaf.share.prod() for leaf in ensemble_leaves(model)))
+    trees = ensemble_trees(model)
     out = T.StructType([df.schema[key], T.StructField("value", T.ArrayType(T.DoubleType())),
                         T.StructField("phi", T.ArrayType(T.DoubleType()))])
 
@@ -131,9 +185,9 @@ def tree_shap(df: DataFrame, key: str, model, names: list[str]) -> DataFrame:
         for pdf in batches:
             x = pdf[names].to_numpy(dtype=float)
             phi = np.zeros_like(x)
-            for leaf in leaves:
-                if len(leaf.feature):
-                    attribute_leaf(leaf, x, phi)
+            for first in range(0, len(x), 2000):  # a block's weights stay in cache
+                for tree in trees:
+                    attribute_tree(tree, x[first:first + 2000], phi[first:first + 2000], {}, np.ones((1, len(x[first:first + 2000]))))
             yield pd.DataFrame({key: pdf[key], "value": list(x), "phi": list(phi)})
 
     rows = complete_rows(df.select(key, *[F.col(c).cast("double").alias(c) for c in names]), names)
