@@ -155,7 +155,9 @@ def member_order(rows: DataFrame) -> Broadcast:
 
 def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast,
                 n_members: int) -> tuple[DataFrame, list[DataFrame]]:
-    """``(block, d1, d2, sets)``: which sets meet in which block of ``sets`` sets; and the written tables it reads.
+    """``(block, d1, sets)``: which sets meet in which block of ``sets`` sets; and the written tables it reads.
+
+    Half a digest will do here: two sets with one half only meet in each other's blocks as well.
 
     A prefix member that the twice-seen filter rules out is in no other prefix. Blocks with the same sets are one.
     """
@@ -170,7 +172,7 @@ def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast,
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            tokens, d1, d2 = [], [], []
+            tokens, d1 = [], []
             for members in shingle_sets(batch.column("js_text"), n):
                 if not len(members):
                     continue
@@ -182,16 +184,14 @@ def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast,
                     seen.add(d)
                 tokens.append(prefix.view(np.int64))
                 d1.append(np.full(len(prefix), d[0], np.int64))
-                d2.append(np.full(len(prefix), d[1], np.int64))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, d1, d2)],
-                                                 ["token", "d1", "d2"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, d1)], ["token", "d1"])
 
-    rows = written(docs.select("js_text").mapInArrow(work, "token long, d1 long, d2 long").distinct(), "prefixes")
-    alike = [F.bit_xor(F.xxhash64("d1", "d2", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    rows = written(docs.select("js_text").mapInArrow(work, "token long, d1 long").distinct(), "prefixes")
+    alike = [F.bit_xor(F.xxhash64("d1", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
     blocks = rows.groupBy("token").agg(F.count("*").alias("sets"), *alike).where("sets > 1")
     blocks = written(blocks.groupBy("sets", "x1", "x2").agg(F.min("token").alias("block")).select("block", "sets"), "blocks")
-    return rows.join(blocks, F.col("token") == F.col("block")).select("block", "d1", "d2", "sets"), [rows, blocks]
+    return rows.join(blocks, F.col("token") == F.col("block")).select("block", "d1", "sets"), [rows, blocks]
 
 
 def members_of(docs: DataFrame, wanted: DataFrame, n: int, n_wanted: int) -> DataFrame:
@@ -430,7 +430,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int
     classes = classes.where(F.col("rep").isNotNull()).withColumn("node", F.monotonically_increasing_id())
     classes = written(classes, "classes")
     blocks, read = memberships(docs, n_words, percent, order, int(n_members or 1))
-    possible = written(possible_links(blocks.join(classes, ["d1", "d2"]), percent), "possible")
+    possible = written(possible_links(blocks.join(classes, "d1"), percent), "possible")
     released(*read)
     # sets that possible links connect are compared as one family, so each set is sent once
     connected = components(possible)
@@ -468,11 +468,15 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n_word
 
     Rows without words are no one's copy and all stay; so do rows whose key is NULL and whose set no keyed row has.
     Each row is judged by its key and text, so rows that share a key, or have none, don't take each other along.
+    Columns of any name pass through.
     """
     rows, _ = join(docs, key, text, n_words, percent)
-    gone = rows.where(~F.col("first")).select(F.col("doc").alias("js_gone"), F.col("text").alias("js_md5"))
+    mark = "js_"
+    while any(c.lower().startswith(mark) for c in docs.columns):  # names that no column of docs has
+        mark += "_"
+    gone = rows.where(~F.col("first")).select(F.col("doc").alias(f"{mark}doc"), F.col("text").alias(f"{mark}md5"))
     gone = written(gone.distinct(), "copies")
-    left = docs.join(gone, F.col(key).eqNullSafe(F.col("js_gone")) & (F.unhex(F.md5(F.col(text))) == F.col("js_md5")),
+    left = docs.join(gone, F.col(key).eqNullSafe(F.col(f"{mark}doc")) & (F.unhex(F.md5(F.col(text))) == F.col(f"{mark}md5")),
                      "left_anti")
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 

@@ -433,3 +433,25 @@ def test_broken_frames():
     for bad in (frame[:-1], frame + b"\0\0\0\0\0\0\0\0", b"P*M\x18\xff\0\0\0", frame[:-1] + bytes([frame[-1] ^ 1])):
         with pytest.raises(warc.BrokenArchive):
             list(warc.frames(bad))
+
+
+def test_one_of_each_beside_columns_of_any_name(spark):
+    rows = [(1, LONG, "a", "b", 1), (2, LONG, "c", "d", 2), (3, "something else", None, None, 3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, js_gone string, js_md5 string, js__doc int")
+    kept = jaccard_join.one_of_each(table)
+    assert kept.columns == table.columns and {tuple(r) for r in kept.collect()} == {rows[0], rows[2]}
+
+
+def test_join_deletes_what_nothing_reads(spark, docs):
+    import os
+    from urllib.parse import urlparse
+
+    from delaylens.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    folder = urlparse(spark.sparkContext.getCheckpointDir()).path
+    before = set(os.listdir(folder))
+    out, links = jaccard_join.join(docs)
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
+    assert left <= {"sets", "classes", "links", "found"}
+    assert out.count() == docs.count() and links.count() >= 0
