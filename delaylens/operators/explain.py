@@ -149,29 +149,38 @@ def unwound(weights: np.ndarray, share: float, inside: np.ndarray) -> np.ndarray
     return total
 
 
-def attribute_tree(node: "Split | float", x: np.ndarray, phi: np.ndarray, path: dict[int, tuple[float, np.ndarray]],
-                   weights: np.ndarray) -> None:
+def path_shares(shares: list[float], inside: np.ndarray) -> np.ndarray:
+    """Per (feature of the path, column of ``inside``): what the feature gets of the leaf's value."""
+    weights = np.ones((1, inside.shape[1]))
+    for share, own in zip(shares, inside):
+        weights = extended(weights, share, own)
+    return np.stack([(own - share) * unwound(weights, share, own) for share, own in zip(shares, inside)])
+
+
+def attribute_tree(node: "Split | float", x: np.ndarray, phi: np.ndarray, path: dict[int, tuple[float, np.ndarray]]) -> None:
     """Add the exact attributions of all leaves below ``node`` for a block of rows.
 
-    Leaves share the weights of the path that leads to them. A feature that comes again is merged with its earlier
-    split, and the weights of the path are made anew.
+    At a leaf, rows differ only in which of the path's conditions they meet, so the shares are worked out once for
+    each of these patterns where there are fewer of them than rows. A feature that comes again is one condition.
     """
     if not isinstance(node, Split):
-        for feature, (share, inside) in path.items():
-            phi[:, feature] += node * (inside - share) * unwound(weights, share, inside)
+        if path:
+            shares, inside = zip(*path.values())
+            m = len(shares)
+            if 2 << m <= len(x):
+                pattern = np.zeros(len(x), np.int64)
+                for i, own in enumerate(inside):
+                    pattern += own.astype(np.int64) << i
+                got = path_shares(shares, (np.arange(1 << m) >> np.arange(m)[:, None] & 1).astype(bool))[:, pattern]
+            else:
+                got = path_shares(shares, np.stack(inside))
+            phi[:, list(path)] += node * got.T
         return
     left = x[:, node.feature] <= node.cut
     before = path.get(node.feature)
     for child, goes, part in ((node.left, left, node.left_share), (node.right, ~left, 1 - node.left_share)):
-        share, inside = (part, goes) if before is None else (before[0] * part, before[1] & goes)
-        own = {**path, node.feature: (share, inside)}
-        if before is None:
-            new = extended(weights, share, inside)
-        else:
-            new = np.ones((1, len(x)))
-            for s, i in own.values():
-                new = extended(new, s, i)
-        attribute_tree(child, x, phi, own, new)
+        own = (part, goes) if before is None else (before[0] * part, before[1] & goes)
+        attribute_tree(child, x, phi, {**path, node.feature: own})
 
 
 def tree_shap(df: DataFrame, key: str, model, names: list[str]) -> DataFrame:
@@ -185,9 +194,8 @@ def tree_shap(df: DataFrame, key: str, model, names: list[str]) -> DataFrame:
         for pdf in batches:
             x = pdf[names].to_numpy(dtype=float)
             phi = np.zeros_like(x)
-            for first in range(0, len(x), 2000):  # a block's weights stay in cache
-                for tree in trees:
-                    attribute_tree(tree, x[first:first + 2000], phi[first:first + 2000], {}, np.ones((1, len(x[first:first + 2000]))))
+            for tree in trees:
+                attribute_tree(tree, x, phi, {})
             yield pd.DataFrame({key: pdf[key], "value": list(x), "phi": list(phi)})
 
     rows = complete_rows(df.select(key, *[F.col(c).cast("double").alias(c) for c in names]), names)
