@@ -5,13 +5,17 @@ from __future__ import annotations
 import heapq
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+
+from ..sources.stores import remove_path, scratch_path
+from .common import written
 
 #: Blocks per old shard, and parts of a block that alone is large; the driver sees one row for each at most.
 BLOCKS, PARTS = 1024, 128
 #: Rows that get their places in one task.
 SLOT_ROWS = 50_000
+#: Bytes of text a rewritten file aims at.
+FILE_BYTES = 128 << 20
 
 
 def cheapest_flow(supply: list[int], capacity: list[float], cost) -> dict[tuple[int, int], float]:
@@ -72,6 +76,7 @@ class Plan:
     split: list[tuple[int, int]]
     moved_bytes: int
     rows: int
+    bytes: int = 0
 
     def affected(self) -> set[int]:
         """Shards that lose or gain a block."""
@@ -139,7 +144,7 @@ def plan_transfers(rows: DataFrame, shards: int, capacities: list[float] | None
     flow = cheapest_flow(supply, [s * scale for s in shares], lambda i, j: 0.0 if olds[i] == j else 1.0)
     placed = _place(sizes, {(olds[i], j): f for (i, j), f in flow.items()}, [s * scale for s in shares])
     moved = sum(n for k, n in sizes.items() if placed[k] != k[0])
-    return Plan(placed, large, moved, sum(c for _, c in whole.values()))
+    return Plan(placed, large, moved, sum(c for _, c in whole.values()), total)
 
 
 def blocked(docs: DataFrame, old: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -188,33 +193,71 @@ def with_slots(rows: DataFrame, n_rows: int, order: list[str], shard: str = "sha
         "rs_s", "rs_p", "rs_start", "rs_own", "rs_slot_part")
 
 
-def rewrite(spark: SparkSession, source: str, target: str, plan: Plan, key: str = "doc_id", text: str = "text") -> DataFrame:
+def write_layout(rows: DataFrame, path: str, key: str = "doc_id", text: str = "text", files: int | None = None) -> T.StructType:
+    """Write rows with a column ``shard`` as a table partitioned by it, about ``files`` files a shard; its schema.
+
+    Rows are dealt to files by key and text, so neither a NULL key nor a text with many copies fills one file. Without
+    ``files`` nothing is shuffled and each task writes a file for every shard it has rows of.
+    """
+    columns = [c for c in rows.columns if c != "shard"]
+    dealt = rows.select(*columns, F.col("shard").cast("int"))
+    if files is not None:
+        dealt = dealt.repartition("shard", F.pmod(F.xxhash64(key, text), F.lit(files)))
+    dealt.write.partitionBy("shard").option("compression", "zstd").parquet(path)
+    return dealt.schema
+
+
+def rewrite(spark: SparkSession, source: str, target: str, plan: Plan, key: str = "doc_id", text: str = "text",
+            schema: T.StructType | None = None) -> DataFrame:
     """Carry out a plan on a table partitioned by ``shard``: only affected shards are read and written anew, to
     ``target``. Returns ``(shard, folder)``: where each shard's files now are. Unaffected shards keep theirs.
+
+    An empty table has no files to take its ``schema`` from; give it then.
     """
     affected = sorted(plan.affected())
-    table = spark.read.parquet(source)
+    table = (spark.read.schema(schema) if schema else spark.read).parquet(source)
     rows = table.where(F.col("shard").isin(affected) if affected else F.lit(False))
     rows = blocked(rows.withColumnRenamed("shard", "rs_was"), F.col("rs_was"), key, text)
     columns = [c for c in table.columns if c != "shard"]
-    moved = assigned(rows, plan).select(*columns, "shard")
-    moved.repartition("shard", F.pmod(F.xxhash64(key), F.lit(16))).write.partitionBy("shard").parquet(target)
+    files = max(4, -(-plan.bytes // (FILE_BYTES * max(1, len(affected)))))
+    write_layout(assigned(rows, plan).select(*columns, "shard"), target, key, text, files)
     places = {j: target if j in affected else source for j in {*plan.placed.values()}}
     return spark.createDataFrame(sorted(places.items()), "shard int, folder string")
 
 
+def read_layout(spark: SparkSession, places: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows of a table whose shards lie where ``rewrite`` says; one row per shard reaches the driver."""
+    folders: dict[str, list[int]] = {}
+    for r in places.collect():
+        folders.setdefault(r["folder"], []).append(r["shard"])
+    rows = spark.createDataFrame([], schema)
+    for folder, own in sorted(folders.items()):
+        rows = rows.unionByName(spark.read.schema(schema).parquet(folder).where(F.col("shard").isin(own)))
+    return rows
+
+
 #: The layout the query starts from: so many shards by hash of the text.
 OLD_SHARDS = 6
 
 
 def digest(docs: DataFrame, shards: int = 8) -> DataFrame:
-    """Documents in 6 shards by hash move to ``shards`` of equal bytes with the fewest bytes moved."""
-    base = docs.select("doc_id", "text")
-    old = F.pmod(F.xxhash64("text", F.lit("old")), F.lit(OLD_SHARDS))
-    rows = blocked(base, old).withColumn("text_crc32", F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long"))
-    rows = rows.drop("text").persist(StorageLevel.MEMORY_AND_DISK)
-    plan = plan_transfers(rows.select(*[F.col(f"rs_{c}").alias(c) for c in ("old", "block", "part", "bytes")]), shards)
-    placed = with_slots(assigned(rows, plan), plan.rows, ["doc_id", "text_crc32", "rs_bytes"])
-    return placed.select("doc_id", F.col("rs_bytes").alias("size"), "text_crc32", F.lit("bytes").alias("law"), "shard",
-                         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
-                         F.col("rs_old").alias("old_shard"))
+    """Documents in files of 6 shards, by hash of the text, move to ``shards`` of equal bytes with the fewest bytes moved.
+
+    The old layout is written below the checkpoint folder, planned, rewritten, and the columns are read from the new
+    files; both layouts are deleted then. An empty table gives no rows.
+    """
+    spark = docs.sparkSession
+    old = F.pmod(F.xxhash64("text", F.lit("old")), F.lit(OLD_SHARDS)).cast("int")
+    source, target = scratch_path(spark, "old-shards"), scratch_path(spark, "new-shards")
+    schema = write_layout(docs.select("doc_id", "text", old.alias("old_shard"), old.alias("shard")), source)
+    before = blocked(spark.read.schema(schema).parquet(source), F.col("shard"))
+    plan = plan_transfers(before.select(*[F.col(f"rs_{c}").alias(c) for c in ("old", "block", "part", "bytes")]), shards)
+    files = read_layout(spark, rewrite(spark, source, target, plan, schema=schema), schema)
+    slim = written(files.select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"),
+        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"), "shard", "old_shard"), "sharded")
+    remove_path(spark, source)
+    remove_path(spark, target)
+    placed = with_slots(slim, plan.rows, ["doc_id", "text_crc32", "size"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "old_shard")

@@ -7,9 +7,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle import compare, connect
 
+from delaylens.llm import quality_classifier, textbytes
 from delaylens.llm.queries import CHECKS, QUERIES
 
 from conftest import SMALL
@@ -141,6 +143,51 @@ def test_classifier_on_held_out_rows(spark):
     assert (own.predicted == own.quality).mean() >= 0.95
 
 
+def test_classifier_updates_against_plain_ones():
+    """Two passes over texts of one part, feature by feature and coordinate by coordinate in plain Python."""
+    texts = ["Good words, read well.", "x x x ### 12", "", "Good words again and again", "12 ### x", "  spaced\tout\nwords "]
+    labels = [1, 0, 1, 1, 0, 1]
+
+    def grams(text):
+        """Names of the features: words and pairs, then shapes, pairs and triples of shapes."""
+        words = re.findall(r"[^ \t\n\x0b\x0c\r]+", text)
+        kind = lambda c: ("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c)
+        shapes = []
+        for i, w in enumerate(words):
+            shapes.append((kind(w[0]), kind(w[-1]), kind(w[1] if len(w) > 1 else w[-1]),
+                           min(6, math.ceil(math.log2(len(w) + 1))), i > 0 and words[i - 1] == w))
+        names = []
+        for tag, base, n in (("w", words, 1), ("w", words, 2), ("s", shapes, 1), ("s", shapes, 2), ("s", shapes, 3)):
+            names += [(tag, n, tuple(base[i - n + 1:i + 1]) if i >= n - 1 else "start") for i in range(len(words))]
+        return names, max(1, len(words))
+
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+    q = quality_classifier
+
+    def weight(f):
+        return -z[f] / ((q.BETA + math.sqrt(n[f])) / q.ALPHA + q.L2)
+
+    def margin(text):
+        names, size = grams(text)
+        return sum(weight(f) for f in names) / size + weight("bias")
+
+    own_z, own_n = np.zeros((1 << q.BITS) + 1), np.zeros((1 << q.BITS) + 1)
+    for _ in range(2):
+        for text, y in zip(texts, labels):
+            names, size = grams(text)
+            x = {f: c / size for f, c in collections.Counter(names).items()} | {"bias": 1.0}
+            error = 1 / (1 + math.exp(-sum(weight(f) * v for f, v in x.items()))) - y
+            for f, v in x.items():
+                g = error * v
+                z[f], n[f] = z[f] + g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / q.ALPHA * weight(f), n[f] + g * g
+        q.follow(pa.array(texts), np.array(labels), own_z, own_n)
+    weights = q.leader(own_z, own_n)
+    for lo, hi, data, offsets in textbytes.chunks(pa.array(texts)):
+        assert np.allclose(q.margins(weights, data, offsets), [margin(t) for t in texts[lo:hi]], atol=1e-9)
+    # as many coordinates moved as there are different features: hashes keep them apart here
+    assert np.count_nonzero(own_n) == len([f for f in n if n[f] > 0])
+
+
 def test_piece_sampling_round_trip(spark, documents):
     rows = QUERIES["op1_piece_sampling"](spark, SMALL).toPandas()
     assert rows.decoded.all() and set(rows.doc_id) == {d for d, _, _ in documents}

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import zlib
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from delaylens.llm import (bloom, jaccard_join, line_dedup, mixing, nearest, piece_sampling, quality_classifier,
                            quality_rules, resharding, suffix_dedup, warc)
 from delaylens.llm.components import components
+from delaylens.sources import stores
 
 from test_llm_checks import link_components, removed_bytes
 
@@ -289,6 +291,22 @@ def test_rewrite_touches_affected_files_only(spark, tmp_path):
     assert plan.moved_bytes <= capacities[0] / 2 + 400
 
 
+def test_resharding_goes_through_files(docs, empty, monkeypatch):
+    read, removed = [], []
+    layout, remove = resharding.read_layout, resharding.remove_path
+    monkeypatch.setattr(resharding, "read_layout", lambda spark, places, schema: read.append(places.collect()) or layout(spark, places, schema))
+    monkeypatch.setattr(resharding, "remove_path", lambda spark, path: removed.append(path) or remove(spark, path))
+    rows = resharding.digest(docs).collect()
+    assert sorted((r.size, r.text_crc32) for r in rows) == sorted(
+        (len((d.text or "").encode()) + 1, zlib.crc32((d.text or "").encode())) for d in docs.collect())
+    folders = {r.folder for r in read[0]}
+    assert len(removed) == 2 and folders <= set(removed) and {r.shard for r in rows} <= {r.shard for r in read[0]}
+    assert not any(stores.path_exists(docs.sparkSession, path) for path in removed)
+    for j in {r.shard for r in rows}:
+        assert sorted(r.slot for r in rows if r.shard == j) == list(range(sum(r.shard == j for r in rows)))
+    assert resharding.digest(empty).count() == 0
+
+
 def test_nearest_on_odd_rows(spark):
     rng = np.random.default_rng(8)
     x = rng.standard_normal((400, 8))
