@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, explain, models, split
+from ..operators import curves, evaluate, explain, models, split
 from ..sources import stores
 from .base import HASH, LATE, PREDICTIONS, SEED, Tables, q6, query, r6, rounded
 
@@ -100,6 +100,34 @@ def i4_auc(t: Tables):
     return rounded(evaluate.roc_auc(t.predictions, "label", "probability"), "roc_auc")
 
 
+BINNED = PREDICTIONS + """
+, sc AS (SELECT least(CAST(floor(probability * 1024) AS BIGINT), 1024) AS c, min(probability) AS s, sum(label) AS p,
+  count(*) - sum(label) AS n FROM pred WHERE probability IS NOT NULL GROUP BY 1),
+cu AS (SELECT s, CAST(sum(p) OVER (ORDER BY c DESC) AS DOUBLE) AS tp, CAST(sum(n) OVER (ORDER BY c DESC) AS DOUBLE) AS fp,
+  sum(p) OVER () AS pos, sum(n) OVER () AS neg FROM sc)"""
+
+
+@query("i4_i5_curves_from_summary", BINNED + f"""
+SELECT {q6("s")} AS threshold, {q6("fp / neg")} AS fpr, {q6("tp / pos")} AS tpr, {q6("tp / (tp + fp)")} AS precision,
+       {q6("tp / pos")} AS recall FROM cu""")
+def i4_points(t: Tables):
+    """The first grid alone, as SQL can state it: two halves of the rows, summarised apart and merged."""
+    half = F.pmod(F.xxhash64("FLIGHT_ID"), F.lit(2))
+    parts = [curves.score_summary(t.predictions.where(half == i), "label", "probability", tolerance=1.0) for i in (0, 1)]
+    names = ["threshold", "fpr", "tpr", "precision", "recall"]
+    return rounded(curves.summary_points(curves.merge_summaries(parts)).select(*names), *names)
+
+
+@query("i4_roc_auc_from_summary", PREDICTIONS + AUC + f"SELECT {q6('auc')} AS exact, true AS within_bound, true AS bound_met FROM au")
+def i4_summary(t: Tables):
+    """The AUC of the refined summary against the exact one: off by no more than its bound, that at most 1e-5."""
+    found = curves.summary_auc(curves.score_summary(t.predictions, "label", "probability", 1e-5)).first()
+    exact = evaluate.roc_auc(t.predictions, "label", "probability")
+    return exact.select(r6("roc_auc").alias("exact"),
+                        (F.abs(F.col("roc_auc") - found["roc_auc"]) <= found["bound"] + 1e-12).alias("within_bound"),
+                        F.lit(found["bound"] <= 1e-5).alias("bound_met"))
+
+
 @query("i5_precision_recall_curve", PREDICTIONS + DOWN + f"""
 SELECT {q6("s")} AS threshold, {q6("tp / (tp + fp)")} AS precision, {q6("tp / pos")} AS recall FROM cu
 UNION ALL SELECT NULL, 1, 0""")

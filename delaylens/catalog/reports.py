@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F, types as T
 
-from ..operators import report
+from ..operators import report, sketches
+from ..operators.scale import bounded, value_counts_long
+from ..sources import stores
 from ..sources.flights import DELAY_CAUSES, flights_schema
 from .base import LATE, PREDICTIONS, Tables, q6, query, r6, rounded
 
@@ -204,6 +206,36 @@ def h18(t: Tables):
     return found.withColumn("value", F.round("value", 4) + F.lit(0.0))
 
 
+def _sketch_sql(c: str) -> str:
+    return (f"SELECT '{c}' AS \"column\", count({c}) AS count, count(*) - count({c}) AS nulls, count(CASE WHEN {c} = 0 THEN 1 END) AS zeros, "
+            f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, {q6(f'avg({c})')} AS mean, "
+            "true AS distinct_near, true AS q25_near, true AS q50_near, true AS q75_near FROM flights")
+
+
+@query("h18_profile_from_sketches", " UNION ALL ".join(_sketch_sql(c) for c in MEASURES))
+def h18_sketches(t: Tables):
+    """Stored parts of each year, added in two updates and merged. The estimates are held against exact value counts:
+    distinct values within 5 %, quantiles within 1 % of the ranks."""
+    rows = t.flights.select(*MEASURES, F.year("FL_DATE").alias("FL_YEAR"))
+    folder = stores.scratch_path(t.spark, "profile")
+    sketches.update_parts(t.spark, folder, rows.where(F.col("FL_YEAR") < 1998), "FL_YEAR", MEASURES)
+    sketches.update_parts(t.spark, folder, rows, "FL_YEAR", MEASURES)
+    found = bounded(sketches.profile_of(sketches.stored_profile(t.spark, folder)))
+    v, n = F.col("value"), F.col("n")
+    counts = value_counts_long(rows, MEASURES).join(found, "column")
+    ranks = counts.groupBy("column").agg(
+        F.count("*").alias("exact"), F.sum("n").alias("all"),
+        *[F.sum(F.when(test, n).otherwise(0)).alias(f"{name}{q}") for q in (25, 50, 75)
+          for name, test in (("below", v < F.col(f"q{q}")), ("upto", v <= F.col(f"q{q}")))])
+    slack = sketches.RANK_ERROR * F.col("all")
+    near = {f"q{q}_near": (F.col(f"below{q}") - slack <= q / 100 * F.col("all")) & (F.col(f"upto{q}") + slack >= q / 100 * F.col("all"))
+            for q in (25, 50, 75)}
+    near["distinct_near"] = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(sketches.DISTINCT_ERROR * F.col("exact"), F.lit(1))
+    return found.join(ranks, "column", "left").select(
+        "column", "count", "nulls", "zeros", "min", "max", r6("mean").alias("mean"),
+        *[F.coalesce(test, F.col("count") == 0).alias(name) for name, test in near.items()])
+
+
 @query("h18_top_values", "SELECT \"column\", value, n, place FROM (SELECT *, CAST(row_number() OVER (PARTITION BY \"column\" ORDER BY n DESC, value) AS INT) AS place FROM ("
        + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS n FROM flights WHERE {c} IS NOT NULL GROUP BY {c}"
                             for c in ("AIRLINE", "DEST_CITY", "FL_NUMBER")) + ")) WHERE place <= 5")

@@ -205,25 +205,37 @@ def hash_uniform(key: str | list[str], seed: int | str) -> Column:
 def rank_cuts(df: DataFrame, key: str, strata: str, hashed: str, positions: Column) -> DataFrame:
     """The (hash, key) of the row at each wanted rank inside each stratum, one row per stratum.
 
-    ``positions`` is an array of 1-based ranks as an expression of the stratum size ``size``. Rows are
-    counted per (stratum, top 16 hash bits); only rows of the bucket that holds a wanted rank are sorted,
-    so no stratum is gathered however large it is.
+    ``positions`` is an array of 1-based ranks as an expression of the stratum size ``size``. The 32-bit hash is taken
+    by halves: counts per (stratum, upper 16 bits) find the bucket that holds a rank, counts per hash inside that bucket
+    find the hash, counts per key with that hash the row. Every step sorts counts, at most 65,536 per cut, or the
+    different keys of one hash; rows that share bucket, hash or key are never gathered.
     """
     bucket = F.shiftright(F.col(hashed), 16)
     per_bucket = df.groupBy(F.col(strata).alias("__stratum"), bucket.alias("__bucket")).agg(F.count("*").alias("n"))
-    ordered = Window.partitionBy("__stratum").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
-    counted = per_bucket.withColumns({
-        "upto": F.sum("n").over(ordered), "size": F.sum("n").over(Window.partitionBy("__stratum")),
-    })
-    targets = (
-        counted.select("__stratum", "__bucket", "n", "upto", F.posexplode(positions).alias("cut", "position"))
-        .where((F.col("position") <= F.col("upto")) & (F.col("position") > F.col("upto") - F.col("n")))
-        .select("__stratum", "__bucket", "cut", (F.col("position") - F.col("upto") + F.col("n")).alias("need"))
-    )
-    targets = bounded(targets)
+    sized = F.sum("n").over(Window.partitionBy("__stratum"))
+    counted = _ranked(per_bucket, ["__stratum"], "__bucket").withColumn("size", sized)
+    targets = counted.select("__stratum", "__bucket", "n", "upto", F.posexplode(positions).alias("cut", "need"))
+    targets = bounded(_holding(targets, "__stratum", "__bucket", "cut"))
     near = df.select(F.col(strata).alias("__s"), bucket.alias("__b"), F.col(hashed).alias("u"), F.col(key).alias("k"))
     near = near.join(targets, F.col("__s").eqNullSafe(F.col("__stratum")) & (F.col("__b") == F.col("__bucket")))
-    place = F.row_number().over(Window.partitionBy("__stratum", "cut").orderBy("u", "k"))
-    cuts = near.withColumn("place", place).where("place = need")
-    return cuts.groupBy("__stratum").agg(
+    per_key = near.groupBy("__stratum", "cut", "need", "u", "k").agg(F.count("*").alias("n"))
+    per_hash = _ranked(per_key.groupBy("__stratum", "cut", "need", "u").agg(F.sum("n").alias("n")), ["__stratum", "cut"], "u")
+    found = bounded(_holding(per_hash, "__stratum", "cut", "u"))
+    found = found.withColumnsRenamed({"__stratum": "__s", "cut": "__cut", "u": "__u", "need": "__need"})
+    same = F.col("__stratum").eqNullSafe(F.col("__s")) & (F.col("cut") == F.col("__cut")) & (F.col("u") == F.col("__u"))
+    last = _ranked(per_key.join(found, same).drop("need").withColumnRenamed("__need", "need"), ["__stratum", "cut"], "k")
+    return last.where((F.col("need") <= F.col("upto")) & (F.col("need") > F.col("upto") - F.col("n"))).groupBy("__stratum").agg(
         F.map_from_entries(F.collect_list(F.struct("cut", F.struct("u", "k")))).alias("__cuts"))
+
+
+def _ranked(counts: DataFrame, by: list[str], order: str) -> DataFrame:
+    """``upto``: the rows up to and including each count."""
+    return counts.withColumn("upto", F.sum("n").over(
+        Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def _holding(ranked: DataFrame, *columns: str) -> DataFrame:
+    """The counts that hold the rank ``need``, which then is the rank among their own rows."""
+    start = F.col("upto") - F.col("n")
+    return ranked.where((F.col("need") <= F.col("upto")) & (F.col("need") > start)).select(
+        *columns, (F.col("need") - start).alias("need"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .scale import bounded, hash_uniform, rank_cuts
+from .scale import bounded, hash_uniform, kept_meanwhile, rank_cuts
 
 SPAN = float(2 ** 32)
 _U = "__u"
@@ -13,7 +13,9 @@ _U = "__u"
 def _by_rank(df: DataFrame, key: str, strata: str, seed: int, positions, names: list[object], target: str) -> DataFrame:
     """Give each row the name of the first cut it does not exceed, the last name beyond all cuts."""
     hashed = df.withColumn(_U, hash_uniform(key, seed))
-    cuts = bounded(rank_cuts(hashed, key, strata, _U, positions))
+    slim = hashed.select(key, strata, _U)
+    with kept_meanwhile(slim):  # read by both counting passes; the input itself is read once here, once below
+        cuts = bounded(rank_cuts(slim, key, strata, _U, positions))
     me = F.struct(F.col(_U).alias("u"), F.col(key).alias("k"))
     choice = None
     for i, name in enumerate(names[:-1]):
