@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..functions import times
-from ..operators import features as fx, lookup
-from .base import LATE, Tables, q6, query, r6, rounded
+from ..operators import features as fx, lookup, split
+from .base import HASH, LATE, SEED, Tables, q6, query, r6, rounded
 
 MIN = "(CRS_DEP_TIME // 100) * 60 + CRS_DEP_TIME % 100"
 
@@ -33,6 +33,19 @@ def c2(t: Tables):
     return rounded(out.select("FLIGHT_ID", *names), *names)
 
 
+@query("c2_cyclical_minutes_fit_on", f"""
+, u AS (SELECT *, {HASH} / 4294967296e0 >= 0.4e0 AS own FROM flights),
+m AS (SELECT avg(DEP_TIME) AS a, avg(WHEELS_OFF) AS b, max(WHEELS_OFF) AS top FROM u WHERE own),
+x AS (SELECT FLIGHT_ID, coalesce(DEP_TIME, a) AS d, coalesce(WHEELS_OFF, b) AS w, top FROM flights, m)
+SELECT FLIGHT_ID, {q6(_FILLED)} AS DEP_TIME_MINUTES, {_cyc(_FILLED, "1440", "DEP_TIME_MINUTES")},
+       {_cyc("w", "top", "WHEELS_OFF")} FROM x""")
+def c2_fit_on(t: Tables):
+    rows = split.random_split(t.flights.select("FLIGHT_ID", "DEP_TIME", "WHEELS_OFF"), "FLIGHT_ID", seed=SEED)
+    out = fx.cyclical_minutes(rows, ["DEP_TIME", "WHEELS_OFF"], fit_on=rows.where("split = 'train'"))
+    names = [c for c in out.columns if c.endswith(("_SIN", "_COS", "_MINUTES"))]
+    return rounded(out.select("FLIGHT_ID", *names), *names)
+
+
 def _part(position: str, period: int, name: str) -> str:
     angle = f"2 * pi() * ({position}) / {period}"
     return f"{q6(f'sin({angle})')} AS {name}_sin, {q6(f'cos({angle})')} AS {name}_cos"

@@ -138,6 +138,33 @@ def m11(t: Tables):
     return settled(rows, table)
 
 
+@query("m11_resumable_search", "SELECT 7 AS fits, 0 AS fits_again, 2 AS kept, true AS same_scores, true AS same_setting, true AS best_is_highest",
+       native=True)
+def m11_resumable(t: Tables):
+    """Three penalties on three folds, the best two kept after the first: 3 + 2 + 2 fits. The second search reads them
+    all from the ledger, the third call finds the stored setting."""
+    rows = learning_rows(t)
+    train, made = part(rows, "train").select(KEY, "LATE", "features", "fold"), []
+
+    def fit(data, setting):
+        made.append(setting)
+        return LogisticRegression(labelCol="LATE", maxIter=50, **setting).fit(data)
+
+    settings = search.combinations({"regParam": [0.0, 0.01, 0.1]})
+    folder = stores.scratch_path(t.spark, "search")
+    job = (train, settings, 3, "LATE", fit)
+    best, first = search.stored_or_searched(*job, f"{folder}/params", f"{folder}/ledger", "logistic", keep=[2])
+    fits = len(made)
+    again = search.resumable_scores(*job, f"{folder}/ledger", "logistic", keep=[2])
+    stored, none = search.stored_or_searched(*job, f"{folder}/params", f"{folder}/ledger", "logistic", keep=[2])
+    means = first.groupBy("params").agg(F.count("*").alias("n"), F.avg("auc").alias("auc")).where("n = 3").collect()
+    top = max(means, key=lambda r: r["auc"])
+    row = (fits, len(made) - fits, len(means), sorted(first.collect()) == sorted(again.collect()), none is None and stored == best,
+           abs(top["auc"] - next(r["auc"] for r in means if r["params"] == search.describe(best))) == 0.0)
+    rows.unpersist()
+    return t.spark.createDataFrame([row], "fits int, fits_again int, kept int, same_scores boolean, same_setting boolean, best_is_highest boolean")
+
+
 @query("m12_random_search")
 def m12(t: Tables):
     rows = learning_rows(t)

@@ -9,15 +9,15 @@ from .lookup import lookup_map
 from .scale import bounded, complete_rows
 
 
-def cyclical_minutes(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Sine/cosine of clock columns after filling NULL with the column mean.
+def cyclical_minutes(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None) -> DataFrame:
+    """Sine/cosine of clock columns after filling NULL with the column mean, both of the rows in ``fit_on`` (all rows).
 
     Names containing TIME are HHMM: they get ``_MINUTES`` and a period of one day. Other columns are
     scaled by their own maximum. One aggregate serves all columns.
     """
     columns = [c for c in columns if c in df.columns]
     values = {c: F.col(c).try_cast("double") for c in columns}
-    stats = df.agg(*[F.avg(v).alias(f"mean_{c}") for c, v in values.items()],
+    stats = (df if fit_on is None else fit_on).agg(*[F.avg(v).alias(f"mean_{c}") for c, v in values.items()],
                    *[F.max(v).alias(f"max_{c}") for c, v in values.items()]).first()
     filled, derived = {}, {}
     for c, v in values.items():

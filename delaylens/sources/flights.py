@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+
+from .stores import commit_manifest, latest_manifest
 
 DELAY_CAUSES = [
     "DELAY_DUE_CARRIER",
@@ -52,3 +56,51 @@ def read_flights(spark: SparkSession, path: str | list[str], schema: T.StructTyp
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, _TEXT)])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     return nan_to_null(reader.schema(schema).csv(path))
+
+
+def land_checked(spark: SparkSession, target: str, path: str | list[str], schema: T.StructType | None = None,
+                 date: str = "FL_DATE", partition: str = "FL_YEAR") -> dict:
+    """Land CSV files by year, with rows that don't fit the schema in a table of their own; returns the counts.
+
+    One pass parses, routes and counts. A row with an unreadable field, or without a readable date, goes with its raw
+    text to quarantine. The landing takes effect by a new manifest: the years it holds replace those landed before as a
+    whole, other years stay. A landing that broke off leaves the manifest, and so the data, as it was.
+    """
+    rows = read_flights(spark, path, schema, keep_corrupt=True)
+    good = F.col(CORRUPT).isNull() & F.col(date).isNotNull()
+    seen = Observation()
+    routed = rows.withColumns({"landed": good, partition: F.when(good, F.year(date))}).observe(
+        seen, F.count("*").alias("rows"), F.count_if(~good).alias("quarantined"))
+    version = f"part-{uuid.uuid4().hex}"
+    routed.write.partitionBy("landed", partition).parquet(f"{target}/{version}")
+    there = spark.read.schema(f"landed boolean, `{partition}` int").parquet(f"{target}/{version}")
+    # from the folder names alone: one row per year of the files
+    years = [r[0] for r in there.where("landed").select(partition).distinct().collect()]
+    before = latest_manifest(spark, target)
+    held = {y: v for y, v in before.get("parts", {}).items() if int(y) not in years} | {str(y): version for y in years}
+    counts = seen.get
+    aside = before.get("quarantine", []) + ([version] if counts["quarantined"] else [])
+    commit_manifest(spark, target, {"parts": held, "quarantine": aside}, before.get("number", 0) + 1)
+    return counts
+
+
+def landed_rows(spark: SparkSession, target: str, schema: T.StructType | None = None, partition: str = "FL_YEAR") -> DataFrame:
+    """The rows in force, with their ``partition``; the scan is limited to the years' folders."""
+    full = T.StructType([*(schema or flights_schema()).fields, T.StructField("landed", T.BooleanType()), T.StructField(partition, T.IntegerType())])
+    versions: dict[str, list[int]] = {}
+    for year, version in latest_manifest(spark, target).get("parts", {}).items():
+        versions.setdefault(version, []).append(int(year))
+    out = spark.createDataFrame([], full)
+    for version, years in sorted(versions.items()):
+        rows = spark.read.schema(full).parquet(f"{target}/{version}")
+        out = out.unionByName(rows.where(F.col("landed") & F.col(partition).isin(years)))
+    return out.drop("landed")
+
+
+def quarantined_rows(spark: SparkSession, target: str) -> DataFrame:
+    """``(record, version)``: the raw text of every row that was set aside, NULL where only the date is missing."""
+    out = spark.createDataFrame([], "record string, version string")
+    for version in latest_manifest(spark, target).get("quarantine", []):
+        rows = spark.read.schema(f"{CORRUPT} string, landed boolean").parquet(f"{target}/{version}").where(~F.col("landed"))
+        out = out.unionByName(rows.select(F.col(CORRUPT).alias("record"), F.lit(version).alias("version")))
+    return out

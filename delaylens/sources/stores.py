@@ -7,12 +7,15 @@ import json
 import uuid
 from typing import Callable
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir
 
 PARAMS_SCHEMA = "model string, params map<string,string>, saved_at timestamp"
+LEDGER_SCHEMA = "study string, data string, params string, fold int, measures map<string,double>"
 METRIC_SCHEMA = "run_id string, model string, stage string, metric string, value double, ts timestamp"
 
 
@@ -33,6 +36,31 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def latest_manifest(spark: SparkSession, folder: str) -> dict:
+    """The manifest of the highest number, with that number; empty when there is none."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_manifests")
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return {}
+    numbers = [int(f.getPath().getName()) for f in files.listStatus(root) if f.getPath().getName().isdigit()]
+    if not numbers:
+        return {}
+    text = spark.read.text(f"{folder}/_manifests/{max(numbers)}", wholetext=True).first()[0]
+    return json.loads(text) | {"number": max(numbers)}
+
+
+def commit_manifest(spark: SparkSession, folder: str, content: dict, number: int) -> None:
+    """Put manifest ``number`` in force by a rename; raises when another writer was first. Old ones are kept."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    draft, final = path(f"{folder}/_manifests/draft-{uuid.uuid4().hex}"), path(f"{folder}/_manifests/{number}")
+    out = files.create(draft, False)
+    out.write(bytearray(json.dumps(content).encode()))
+    out.close()
+    if files.exists(final) or not files.rename(draft, final):
+        raise RuntimeError(f"manifest {number} of {folder} was written by another landing")
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
                 mode: str = "overwrite", max_records: int = 5_000_000) -> str:
     """Write one file per task and partition value; nothing is merged into a single file."""
@@ -95,6 +123,30 @@ def load_or_fit(train: DataFrame, folder: str, name: str, settings: dict, fit: C
     return model, False
 
 
+# --- results of fits -------------------------------------------------------------------------------
+
+def data_key(df: DataFrame) -> str:
+    """A fingerprint of columns and rows, whatever their order or partitions; one pass."""
+    plain = [vector_to_array(f"`{f.name}`") if isinstance(f.dataType, VectorUDT) else F.col(f"`{f.name}`") for f in df.schema]
+    h = F.xxhash64(*plain)
+    r = df.agg(F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(h.cast("decimal(38,0)")).alias("s")).first()
+    return hashlib.md5(json.dumps([df.schema.jsonValue(), r["n"], r["x"], str(r["s"])]).encode()).hexdigest()
+
+
+def ledger_rows(spark: SparkSession, path: str, study: str, data: str) -> dict[tuple[str, int], dict[str, float]]:
+    """Stored measures by (params, fold) of one study on one state of the data; as many as fits were paid for."""
+    if not path_exists(spark, path):
+        return {}
+    rows = spark.read.schema(LEDGER_SCHEMA).parquet(path).where((F.col("study") == study) & (F.col("data") == data))
+    return {(r["params"], r["fold"]): r["measures"] for r in rows.collect()}
+
+
+def append_ledger(spark: SparkSession, path: str, study: str, data: str, params: str, fold: int, measures: dict) -> None:
+    """One entry in a folder of its own, so that concurrent fits and sessions don't share a commit."""
+    row = spark.createDataFrame([(study, data, params, fold, measures)], LEDGER_SCHEMA)
+    row.coalesce(1).write.parquet(f"{path}/entry={uuid.uuid4().hex}")
+
+
 # --- parameters and metrics ------------------------------------------------------------------------
 
 def save_best_params(spark: SparkSession, path: str, model: str, params: dict) -> None:
