@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .stores import commit_manifest, latest_manifest
 
@@ -62,23 +62,22 @@ def land_checked(spark: SparkSession, target: str, path: str | list[str], schema
                  date: str = "FL_DATE", partition: str = "FL_YEAR") -> dict:
     """Land CSV files by year, with rows that don't fit the schema in a table of their own; returns the counts.
 
-    One pass parses, routes and counts. A row with an unreadable field, or without a readable date, goes with its raw
+    One pass parses and routes; counts come from the files' footers. (An observed metric would make every later Spark ML
+    model with a training summary unserializable: the session then holds a manager that can't be sent.) A row with an unreadable field, or without a readable date, goes with its raw
     text to quarantine. The landing takes effect by a new manifest: the years it holds replace those landed before as a
     whole, other years stay. A landing that broke off leaves the manifest, and so the data, as it was.
     """
     rows = read_flights(spark, path, schema, keep_corrupt=True)
     good = F.col(CORRUPT).isNull() & F.col(date).isNotNull()
-    seen = Observation()
-    routed = rows.withColumns({"landed": good, partition: F.when(good, F.year(date))}).observe(
-        seen, F.count("*").alias("rows"), F.count_if(~good).alias("quarantined"))
+    routed = rows.withColumns({"landed": good, partition: F.when(good, F.year(date))})
     version = f"part-{uuid.uuid4().hex}"
     routed.write.partitionBy("landed", partition).parquet(f"{target}/{version}")
     there = spark.read.schema(f"landed boolean, `{partition}` int").parquet(f"{target}/{version}")
-    # from the folder names alone: one row per year of the files
-    years = [r[0] for r in there.where("landed").select(partition).distinct().collect()]
+    found = there.groupBy("landed", partition).agg(F.count("*").alias("n")).collect()  # a row per year
+    years = [r[partition] for r in found if r["landed"]]
     before = latest_manifest(spark, target)
     held = {y: v for y, v in before.get("parts", {}).items() if int(y) not in years} | {str(y): version for y in years}
-    counts = seen.get
+    counts = {"rows": sum(r["n"] for r in found), "quarantined": sum(r["n"] for r in found if not r["landed"])}
     aside = before.get("quarantine", []) + ([version] if counts["quarantined"] else [])
     commit_manifest(spark, target, {"parts": held, "quarantine": aside}, before.get("number", 0) + 1)
     return counts
