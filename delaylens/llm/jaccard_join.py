@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
@@ -74,25 +75,32 @@ def prefix_length(size: int, percent: int) -> int:
 
 
 class Order:
-    """Rare before frequent, by counters that members share; equal ones by hash. Any fixed order gives right results."""
+    """Rare before frequent, by counters that members share; equal ones by hash. Any fixed order gives right results.
+
+    A member that only one set has comes before all others. It is no reason to meet, so a set whose prefix is made of
+    such members meets no other.
+    """
 
     def __init__(self, counts: np.ndarray):
         mean = max(1.0, float(counts.mean()))
         self.level = np.clip(np.log2(np.maximum(counts, 1) / mean) * 4, 0, 60).astype(np.int8)
 
-    def prefix(self, members: np.ndarray, percent: int) -> np.ndarray:
-        level = self.level[members & np.uint64(COUNTERS - 1)]
-        return members[np.argsort(level, kind="stable")[:prefix_length(len(members), percent)]]
+    def prefix(self, members: np.ndarray, percent: int, twice: bloom.Filter) -> np.ndarray:
+        """The members of the prefix that ``twice``, a filter of members that two sets have, doesn't rule out."""
+        shared = twice.hits(members)
+        level = np.where(shared, self.level[members & np.uint64(COUNTERS - 1)], -1)
+        first = np.argsort(level, kind="stable")[:prefix_length(len(members), percent)]
+        return members[first[shared[first]]]
 
 
-def block_keys(members: np.ndarray, order: Order, percent: int) -> np.ndarray:
-    """Two keys per prefix member: sets that share one are near enough in size to link.
+def block_keys(members: np.ndarray, order: Order, percent: int, twice: bloom.Filter) -> np.ndarray:
+    """Two keys per prefix member that other sets may have: sets that share one are near enough in size to link.
 
     Sizes fall into classes a little wider than the ratio that links allow, so linked sets are in one class or in
     neighbours. A set takes part in its own class and the next.
     """
     size_class = int(np.log(len(members)) / (1.0001 * np.log(100 / percent))) if percent < 100 else len(members)
-    prefix = order.prefix(members, percent)
+    prefix = order.prefix(members, percent, twice)
     return np.concatenate([mix64(prefix + np.uint64((size_class + k) * 0x9E3779B97F4A7C15 % (1 << 64))) for k in (1, 2)])
 
 
@@ -153,41 +161,50 @@ def member_order(rows: DataFrame) -> Broadcast:
 
 # --- blocks ----------------------------------------------------------------------------------------
 
-def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast,
+def keys_of(reps: DataFrame, n_keys: int) -> Broadcast:
+    """A filter of the keys in ``rep``, by which other rows are left aside before their sets are made."""
+
+    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield mix64(batch.column("rep").to_numpy().view(np.uint64))
+
+    return bloom.build(reps.select("rep"), hashes, n_keys, at_least=1)
+
+
+def chosen_sets(batch: pa.RecordBatch, n: int, keys: Broadcast) -> Iterator[np.ndarray]:
+    """The sets of rows with one of the keys, and of few others, that aren't empty."""
+    key = batch.column("js_doc")
+    hit = keys.value.hits(mix64(pc.fill_null(key, 0).to_numpy().view(np.uint64)))
+    rows = batch.filter(pc.and_(pc.is_valid(key), pa.array(hit)))
+    return (members for members in shingle_sets(rows.column("js_text"), n) if len(members))
+
+
+def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast, keys: Broadcast,
                 n_members: int) -> tuple[DataFrame, list[DataFrame]]:
     """``(block, d1, sets)``: which sets meet in which block of ``sets`` sets; and the written tables it reads.
 
-    Half a digest will do here: two sets with one half only meet in each other's blocks as well.
+    Half a digest will do here: two sets with one half only meet in each other's blocks as well. Of copies only rows
+    with the representative's key take part.
 
-    A prefix member that the twice-seen filter rules out is in no other prefix. Blocks with the same sets are one.
+    A member that the twice-seen filter rules out is in no other set. Blocks with the same sets are one.
     """
 
-    def prefixes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for members in shingle_sets(batch.column("js_text"), n):
-            if len(members):
-                yield block_keys(members, order.value, percent)
+    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield from chosen_sets(batch, n, keys)
 
-    twice = bloom.build(docs.select("js_text"), prefixes, 2 * n_members)
+    twice = bloom.build(docs.select("js_doc", "js_text"), hashes, n_members, probes=1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
         for batch in batches:
             tokens, d1 = [], []
-            for members in shingle_sets(batch.column("js_text"), n):
-                if not len(members):
-                    continue
-                prefix = block_keys(members, order.value, percent)
-                prefix = prefix[twice.value.hits(prefix)]
-                if not len(prefix) or (d := set_digest(members)) in seen:
-                    continue
-                if len(seen) < 200_000:  # copies in one task; the others are found by the shuffle
-                    seen.add(d)
-                tokens.append(prefix.view(np.int64))
-                d1.append(np.full(len(prefix), d[0], np.int64))
+            for members in chosen_sets(batch, n, keys):
+                prefix = block_keys(members, order.value, percent, twice.value)
+                if len(prefix):
+                    tokens.append(prefix.view(np.int64))
+                    d1.append(np.full(len(prefix), set_digest(members)[0], np.int64))
             if tokens:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, d1)], ["token", "d1"])
 
-    rows = written(docs.select("js_text").mapInArrow(work, "token long, d1 long").distinct(), "prefixes")
+    rows = written(docs.select("js_doc", "js_text").mapInArrow(work, "token long, d1 long").distinct(), "prefixes")
     alike = [F.bit_xor(F.xxhash64("d1", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
     blocks = rows.groupBy("token").agg(F.count("*").alias("sets"), *alike).where("sets > 1")
     blocks = written(blocks.groupBy("sets", "x1", "x2").agg(F.min("token").alias("block")).select("block", "sets"), "blocks")
@@ -195,27 +212,16 @@ def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast,
 
 
 def members_of(docs: DataFrame, wanted: DataFrame, n: int, n_wanted: int) -> DataFrame:
-    """``(d1, d2, members)`` of the wanted sets, once each."""
-
-    def ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        yield batch.column("d1").to_numpy().view(np.uint64)
-
-    once = bloom.build(wanted.select("d1"), ids, n_wanted, at_least=1)
+    """``(d1, d2, members)`` of the sets whose representatives' keys are wanted, and of few others, once each."""
+    keys = keys_of(wanted, n_wanted)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            rows = []
-            for members in shingle_sets(batch.column("js_text"), n):
-                if len(members) and (d := set_digest(members)) not in seen:
-                    if once.value.hits(np.array([d[0]], np.int64).view(np.uint64))[0]:
-                        rows.append((*d, members.tobytes()))
-                        if len(seen) < 200_000:
-                            seen.add(d)
+            rows = [(*set_digest(members), members.tobytes()) for members in chosen_sets(batch, n, keys)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["d1", "d2", "members"])
 
-    found = docs.select("js_text").mapInArrow(work, "d1 long, d2 long, members binary")
+    found = docs.select("js_doc", "js_text").mapInArrow(work, "d1 long, d2 long, members binary")
     return found.groupBy("d1", "d2").agg(F.first("members").alias("members"))
 
 
@@ -423,21 +429,21 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int
     rows = described(docs, n_words)
     order = member_order(rows)
     slim = rows.where(F.col("block").isNull()).select("doc", "text", "size", "d1", "d2", "bits")
-    n_members = slim.agg(F.sum(F.col("size") * (100 - percent) / 100 + 1)).first()[0]
     classes = slim.where("size > 0").groupBy("d1", "d2").agg(
         F.min("doc").alias("rep"), F.first("size").alias("size"), F.first("bits").alias("bits"))
     # sets are numbered, as one key may be the smallest of several
     classes = classes.where(F.col("rep").isNotNull()).withColumn("node", F.monotonically_increasing_id())
     classes = written(classes, "classes")
-    blocks, read = memberships(docs, n_words, percent, order, int(n_members or 1))
+    n_sets, n_members = classes.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(1))).first()
+    blocks, read = memberships(docs, n_words, percent, order, keys_of(classes, n_sets), n_members)
     possible = written(possible_links(blocks.join(classes, "d1"), percent), "possible")
     released(*read)
     # sets that possible links connect are compared as one family, so each set is sent once
     connected = components(possible)
     families = written(connected.withColumnRenamed("component", "family"), "families")
-    wanted = families.join(classes, "node").select("d1", "d2", "node", "family")
+    wanted = families.join(classes, "node").select("d1", "d2", "rep", "node", "family")
     wanted = written(wanted.join(families.groupBy("family").agg(F.count("*").alias("sets")), "family"), "wanted")
-    members = members_of(docs, wanted.select("d1", "d2"), n_words, wanted.count())
+    members = members_of(docs, wanted, n_words, wanted.count())
     links = exact_links(wanted.join(members, ["d1", "d2"]).select("family", "sets", "node", "members"), percent)
     links = written(links, "links")
     released(possible, connected, families, wanted)
