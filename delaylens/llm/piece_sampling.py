@@ -53,22 +53,41 @@ class Vocabulary:
         total = np.log(np.exp(log_p).sum())
         return cls(pieces, plain, alpha * (log_p - total), byte_ids, float(alpha * (-np.log(size + 3.0) - total - 1)))
 
+    def _hashes(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of pieces of ``length`` bytes or more, and the hashes of their first ``length`` bytes."""
+        data, place, size = self._bytes
+        up, down = powers(len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_TABLE[data] * up[:len(data)], out=sums[1:])
+        own = np.flatnonzero(size >= length)
+        return own, (sums[place[own] + length] - sums[place[own]]) * down[place[own]]
+
+    @cached_property
+    def _bytes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = np.array([len(p) for p in self.pieces])
+        return np.frombuffer(b"".join(self.pieces), np.uint8), np.cumsum(size) - size, size
+
     @cached_property
     def by_length(self) -> list[tuple[int, np.ndarray, np.ndarray]]:
         """Per length in bytes the sorted hashes of pieces, and their numbers."""
-        found = {}
-        for k, p in enumerate(self.pieces):
-            found.setdefault(len(p), []).append((int(_hash(np.frombuffer(p, np.uint8))), k))
-        return [(n, np.array([h for h, _ in sorted(v)], np.uint64), np.array([k for _, k in sorted(v)]))
-                for n, v in sorted(found.items())]
+        found, size = [], self._bytes[2]
+        for n in np.unique(size).tolist():
+            own, h = self._hashes(n)
+            own, h = own[size[own] == n], h[size[own] == n]
+            order = np.argsort(h, kind="stable")
+            found.append((n, h[order], own[order]))
+        return found
 
     @cached_property
     def seen(self) -> np.ndarray:
-        """Which leading hash bits any piece has; rules out most substrings."""
-        bits = np.zeros(1 << 22, bool)
-        for _, h, _ in self.by_length:
-            bits[(h >> np.uint64(42)).astype(np.int64)] = True
-        return bits
+        """By leading hash bits: 1 if any piece has them, plus 2 if the beginning of a longer one has."""
+        marks, size = np.zeros(1 << 22, np.uint8), self._bytes[2]
+        for n, _, _ in self.by_length:
+            own, h = self._hashes(n)
+            at, longer = (h >> np.uint64(42)).astype(np.int64), size[own] > n
+            marks[at[~longer]] |= 1
+            marks[at[longer]] |= 2
+        return marks
 
     @cached_property
     def decoded(self) -> dict[int, bytes]:
@@ -92,11 +111,6 @@ class Vocabulary:
         return data[shift].tobytes()[1:]
 
 
-def _hash(data: np.ndarray) -> np.uint64:
-    up, _ = powers(len(data))
-    return mix64((_TABLE[data] * up[:len(data)]).sum(dtype=np.uint64, keepdims=True))[0]
-
-
 # --- lattice ---------------------------------------------------------------------------------------
 
 @dataclass
@@ -136,21 +150,25 @@ def lattice(data: np.ndarray, start: np.ndarray, stop: np.ndarray, vocabulary: V
     following = np.append(heads[1:], n)
     char_end = np.zeros(n + 1, np.int64)
     char_end[heads] = np.minimum(following, last[heads]) if len(heads) else following
-    room, left = heads, last[heads] - heads
+    room, left, before, back = heads, last[heads] - heads, sums[heads], down[heads]
+    seen, goes_on, widest = vocabulary.seen, np.ones(len(heads), bool), int((char_end[heads] - heads).max(initial=0))
     for length, hashes, numbers in vocabulary.by_length:
-        fits = left >= length
-        room, left = room[fits], left[fits]
-        at = room
-        h = mix64((sums[at + length] - sums[at]) * down[at])
-        hit = vocabulary.seen[(h >> np.uint64(42)).astype(np.int64)]
-        at, h = at[hit], h[hit]
+        fits = np.flatnonzero(goes_on & (left >= length))
+        if len(fits) < len(room):  # the others have no room, or begin no longer piece
+            room, left, before, back = room[fits], left[fits], before[fits], back[fits]
+        h = (sums[room + length] - before) * back
+        mark = seen[(h >> np.uint64(42)).astype(np.int64)]
+        goes_on = mark > 1
+        hit = np.flatnonzero(mark & 1)
+        at, h = room[hit], h[hit]
         place = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
         ok = hashes[place] == h
         at, place = at[ok], place[ok]
         a.append(at.astype(np.int32))
         z.append((at + length).astype(np.int32))
         k.append(numbers[place].astype(np.int32))
-        single[at[char_end[at] == at + length]] = True
+        if length <= widest:
+            single[at[char_end[at] == at + length]] = True
     bare = heads[~single[heads]]
     a, z, k = (np.concatenate([*x, more.astype(np.int32)]) for x, more in (
         (a, bare), (z, char_end[bare]), (k, np.full(len(bare), -1))))
@@ -158,32 +176,36 @@ def lattice(data: np.ndarray, start: np.ndarray, stop: np.ndarray, vocabulary: V
     a, z, k = a[order], z[order], k[order]
     del order, sums, up, down, within
     cost = np.where(k >= 0, vocabulary.log_p[k], vocabulary.byte_log_p * (z - a))
-    first = np.searchsorted(a, np.arange(n + 1))
-    # what can follow, from the ends of the units backwards
-    total = np.full(n + 1, -np.inf)
-    total_at_end = np.zeros(n + 1, bool)
-    total_at_end[base[1:]] = True
-    distance = last[a] - a
+    each = np.bincount(a, minlength=n)
+    first = np.concatenate([[0], np.cumsum(each)])
+    # what can follow, from the ends of the units backwards; nothing does behind the end, which has the last place
+    total = np.full(n + 2, -np.inf)
+    total[n + 1] = 0.0
+    end = np.repeat(last, each)
+    distance = end - a
     longest = int(distance.max(initial=0))
     by_distance = np.argsort(distance.astype(np.int16) if longest < 1 << 15 else distance, kind="stable")
-    cuts = np.searchsorted(distance[by_distance], np.arange(1, longest + 2))
-    follow = np.zeros(len(a))
-    for lo, hi in zip(cuts[:-1], cuts[1:]):
+    cuts = np.cumsum(np.bincount(distance, minlength=longest + 1))
+    begin, onto = a[by_distance], np.where(z == end, n + 1, z)[by_distance]
+    value = cost[by_distance]
+    new = np.flatnonzero(np.append(True, begin[1:] != begin[:-1])) if len(begin) else begin
+    at = begin[new]
+    new_cuts = np.searchsorted(new, cuts)
+    for lo, hi, one, two in zip(cuts[:-1].tolist(), cuts[1:].tolist(), new_cuts[:-1].tolist(), new_cuts[1:].tolist()):
         if lo == hi:
             continue
-        e = by_distance[lo:hi]
-        follow[e] = cost[e] + np.where(z[e] == last[a[e]], 0.0, total[z[e]])
-        new = np.flatnonzero(np.append(True, a[e][1:] != a[e][:-1]))
-        total[a[e][new]] = np.logaddexp.reduceat(follow[e], new)
-    del cost, by_distance, distance
-    log_p = np.minimum(follow - total[a], 0.0)
+        value[lo:hi] += total[onto[lo:hi]]
+        total[at[one:two]] = np.logaddexp.reduceat(value[lo:hi], new[one:two] - lo)
+    follow = np.empty(len(a))
+    follow[by_distance] = value
+    del cost, by_distance, distance, begin, onto, value, end
+    log_p = np.minimum(follow - np.repeat(total[:n], each), 0.0)
     del follow
     p = np.exp(log_p)
     running = np.cumsum(p)
-    upto = running - np.append(0.0, running)[first[a]]
-    each = np.diff(first)
+    upto = running - np.repeat(np.append(0.0, running)[first[:-1]], each)
     upto[first[1:][each > 0] - 1] = np.inf  # the last edge takes what rounding leaves
-    return Lattice(base[:-1], base[1:], first, z, k, p, log_p, upto, each[a] == 1)
+    return Lattice(base[:-1], base[1:], first, z, k, p, log_p, upto, np.repeat(each == 1, each))
 
 
 # --- sampling --------------------------------------------------------------------------------------

@@ -386,6 +386,18 @@ def test_piece_sampling_on_odd_rows(docs, empty):
     assert piece_sampling.sampled(empty).isEmpty()
 
 
+def test_lattice_has_all_pieces_and_leaves_off_where_none_goes_on():
+    vocabulary = piece_sampling.Vocabulary.load()
+    text = b"\xffthe\xffinternational\n" + "日本\U0001f600zq".encode()
+    lat = piece_sampling.lattice(np.frombuffer(text, np.uint8), np.array([0]), np.array([len(text)]), vocabulary)
+    found = {(int(a), int(z)) for a in range(len(text)) for z in lat.end[lat.first[a]:lat.first[a + 1]]
+             if lat.piece[lat.first[a]] >= 0}
+    heads = [i for i, b in enumerate(text) if b & 0xC0 != 0x80 or b == 0xFF]
+    known = set(vocabulary.pieces)
+    assert found == {(a, z) for a in heads for z in range(a + 1, len(text) + 1) if text[a:z] in known}
+    assert (vocabulary.seen & 2).any() and (vocabulary.seen == 0).mean() > 0.9
+
+
 def test_samples_follow_the_distribution():
     """All segmentations of a short text by enumeration against many keys."""
     vocabulary = piece_sampling.Vocabulary.load()
