@@ -16,7 +16,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from . import bloom
-from .common import released, written
+from .common import BROADCAST_BYTES, released, small_batches, widened, written
 from .components import components
 from .textbytes import chunks, mix64, ngram_hashes, word_hashes, words
 
@@ -418,6 +418,11 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int
     Texts without words have size 0 and link with nothing. A row with a NULL key takes its set's component, and none
     where no row with a key has that set. Repeated rows are copies; extra columns play no part.
     """
+    with small_batches(docs.sparkSession):
+        return _joined(docs, key, text, n_words, percent)
+
+
+def _joined(docs: DataFrame, key: str, text: str, n_words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     docs = docs.select(F.col(key).cast("long").alias("js_doc"), F.col(text).alias("js_text"),
                        F.unhex(F.md5(F.col(text))).alias("js_md5"))
     rows = described(docs, n_words)
@@ -462,13 +467,35 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int
     return out, links
 
 
+def suspected(docs: DataFrame, md5: str, gone: DataFrame, n_gone: int, flag: str) -> DataFrame:
+    """``docs`` with ``flag``: false only where the MD5 of a row's text, in column ``md5``, is none of those in ``gone``."""
+
+    def halves(batch: pa.RecordBatch) -> np.ndarray:
+        raw = b"".join(x or bytes(16) for x in batch.column(md5).to_pylist())
+        return np.frombuffer(raw, np.uint64)[::2]
+
+    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield halves(batch)
+
+    once = bloom.build(gone.select(md5), hashes, n_gone, at_least=1)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column(flag, pa.array(once.value.hits(halves(batch))))
+
+    return docs.mapInArrow(work, widened(docs, **{flag: "boolean"}))
+
+
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int = N_WORDS,
-                percent: int = PERCENT) -> DataFrame:
+                percent: int = PERCENT, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest key (repeated rows of it are one).
 
     Rows without words are no one's copy and all stay; so do rows whose key is NULL and whose set no keyed row has.
     Each row is judged by its key and text, so rows that share a key, or have none, don't take each other along.
     Columns of any name pass through.
+
+    Texts are not shuffled: the keys to leave out are sent to the rows if they have at most ``broadcast_bytes``. If
+    they have more, a Bloom filter of them is sent, and only rows that it passes are shuffled.
     """
     rows, _ = join(docs, key, text, n_words, percent)
     mark = "js_"
@@ -476,9 +503,19 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n_word
         mark += "_"
     gone = rows.where(~F.col("first")).select(F.col("doc").alias(f"{mark}doc"), F.col("text").alias(f"{mark}md5"))
     gone = written(gone.distinct(), "copies")
-    left = docs.join(gone, F.col(key).eqNullSafe(F.col(f"{mark}doc")) & (F.unhex(F.md5(F.col(text))) == F.col(f"{mark}md5")),
-                     "left_anti")
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+    md5 = F.unhex(F.md5(F.col(text)))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+
+    def kept(left: DataFrame, right: DataFrame) -> DataFrame:
+        same = F.col(key).eqNullSafe(F.col(f"{mark}doc")) & (md5 == F.col(f"{mark}md5"))
+        return left.join(right, same, "left_anti").select(*own)
+
+    n_gone = gone.count()
+    if 24 * n_gone <= broadcast_bytes:
+        return kept(docs, F.broadcast(gone))
+    flag = f"{mark}flag"
+    docs = suspected(docs.withColumn(f"{mark}md5", md5), f"{mark}md5", gone, n_gone, flag).drop(f"{mark}md5")
+    return docs.where(~F.col(flag)).select(*own).union(kept(docs.where(flag), gone))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -22,7 +22,8 @@ from .textbytes import chunks, mix64, powers
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Samples per text, and sharpness of the distribution over segmentations.
 SAMPLES, ALPHA = 2, 1.0
-CHUNK = 1 << 20
+#: Bytes of text whose lattices a task holds at once; each takes some hundred times its size.
+CHUNK = 1 << 18
 #: Stands for the white space mark; it occurs in no UTF-8 text.
 MARK = 0xFF
 NEWLINE = 10

@@ -2,9 +2,11 @@
 
 import hashlib
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from delaylens.llm import (bloom, jaccard_join, line_dedup, mixing, nearest, piece_sampling, quality_classifier,
                            quality_rules, resharding, suffix_dedup, warc)
 from delaylens.llm.components import components
+from delaylens.llm.textbytes import chunks
 from delaylens.sources import stores
 
 from test_llm_checks import link_components, removed_bytes
@@ -465,6 +468,46 @@ def test_broken_frames():
             list(warc.frames(bad))
 
 
+def test_one_of_each_shuffles_no_texts(docs, spark):
+    def found(limit: int) -> list:
+        return sorted(((r.doc_id, r.text) for r in jaccard_join.one_of_each(docs, broadcast_bytes=limit).collect()), key=str)
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the keys to leave out are many
+    try:
+        plan = jaccard_join.one_of_each(docs)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+        sent, filtered = found(1 << 20), found(0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sent == filtered and len(sent) < docs.count()
+    assert (None, "only here and without a key") in sent and (1, None) in sent
+
+
+def test_the_filter_passes_every_copy(docs):
+    md5 = F.unhex(F.md5("text"))
+    rows = docs.withColumn("js_md5", md5)
+    gone = docs.where("doc_id IN (3, 12)").select(md5.alias("js_md5"))
+    flags = jaccard_join.suspected(rows, "js_md5", gone, 2, "hit").select("doc_id", "text", "hit").collect()
+    assert len(flags) == docs.count()
+    assert all(r.hit for r in flags if r.text in (LONG, "a b c")) and not all(r.hit for r in flags)
+
+
+def test_a_chunk_of_lattices_is_small():
+    letters = np.random.Generator(np.random.PCG64(3)).integers(97, 123, (160_000, 9)).astype(np.uint8)
+    letters[:, 8] = 32
+    texts = pa.array([letters[i:i + 400].tobytes().decode() for i in range(0, len(letters), 400)])
+    vocabulary = piece_sampling.Vocabulary.load()
+    tracemalloc.start()
+    try:
+        for lo, hi, data, offsets in chunks(texts, piece_sampling.CHUNK):
+            for _ in piece_sampling.segmentations(data, offsets, np.arange(lo, hi, dtype=np.uint64), vocabulary, 2):
+                pass
+        assert tracemalloc.get_traced_memory()[1] < 120 << 20  # chunks of a megabyte took 238 MB
+    finally:
+        tracemalloc.stop()
+
+
 def test_one_of_each_beside_columns_of_any_name(spark):
     rows = [(1, LONG, "a", "b", 1), (2, LONG, "c", "d", 2), (3, "something else", None, None, 3)]
     table = spark.createDataFrame(rows, "doc_id long, text string, js_gone string, js_md5 string, js__doc int")
