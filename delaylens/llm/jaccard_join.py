@@ -195,27 +195,30 @@ def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast,
 
 
 def members_of(docs: DataFrame, wanted: DataFrame, n: int, n_wanted: int) -> DataFrame:
-    """``(d1, d2, members)`` of the wanted sets, once each."""
+    """``(d1, d2, members)`` of the wanted sets, once each; of copies only rows with the key ``rep`` send theirs."""
+
+    def mixed(d1: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        return mix64(d1.view(np.uint64) ^ mix64(doc.view(np.uint64)))
 
     def ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        yield batch.column("d1").to_numpy().view(np.uint64)
+        yield mixed(batch.column("d1").to_numpy(), batch.column("rep").to_numpy())
 
-    once = bloom.build(wanted.select("d1"), ids, n_wanted, at_least=1)
+    once = bloom.build(wanted.select("d1", "rep"), ids, n_wanted, at_least=1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             rows = []
-            for members in shingle_sets(batch.column("js_text"), n):
-                if len(members) and (d := set_digest(members)) not in seen:
-                    if once.value.hits(np.array([d[0]], np.int64).view(np.uint64))[0]:
+            for doc, members in zip(batch.column("js_doc").to_pylist(), shingle_sets(batch.column("js_text"), n)):
+                if doc is not None and len(members) and (d := set_digest(members)) not in seen:
+                    if once.value.hits(mixed(np.array([d[0]], np.int64), np.array([doc], np.int64)))[0]:
                         rows.append((*d, members.tobytes()))
                         if len(seen) < 200_000:
                             seen.add(d)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["d1", "d2", "members"])
 
-    found = docs.select("js_text").mapInArrow(work, "d1 long, d2 long, members binary")
+    found = docs.select("js_doc", "js_text").mapInArrow(work, "d1 long, d2 long, members binary")
     return found.groupBy("d1", "d2").agg(F.first("members").alias("members"))
 
 
@@ -440,9 +443,9 @@ def _joined(docs: DataFrame, key: str, text: str, n_words: int, percent: int) ->
     # sets that possible links connect are compared as one family, so each set is sent once
     connected = components(possible)
     families = written(connected.withColumnRenamed("component", "family"), "families")
-    wanted = families.join(classes, "node").select("d1", "d2", "node", "family")
+    wanted = families.join(classes, "node").select("d1", "d2", "rep", "node", "family")
     wanted = written(wanted.join(families.groupBy("family").agg(F.count("*").alias("sets")), "family"), "wanted")
-    members = members_of(docs, wanted.select("d1", "d2"), n_words, wanted.count())
+    members = members_of(docs, wanted, n_words, wanted.count())
     links = exact_links(wanted.join(members, ["d1", "d2"]).select("family", "sets", "node", "members"), percent)
     links = written(links, "links")
     released(possible, connected, families, wanted)

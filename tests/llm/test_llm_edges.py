@@ -484,6 +484,18 @@ def test_one_of_each_shuffles_no_texts(docs, spark):
     assert (None, "only here and without a key") in sent and (1, None) in sent
 
 
+def test_only_the_representative_sends_its_members(spark):
+    table = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "js_doc long, js_text string").coalesce(1)
+    members = next(jaccard_join.shingle_sets(pa.array(["a b c d e f"]), 5))
+    d1, d2 = jaccard_join.set_digest(members)
+
+    def sent(rep: int) -> list:
+        wanted = spark.createDataFrame([(d1, d2, rep)], "d1 long, d2 long, rep long")
+        return [bytes(r.members) for r in jaccard_join.members_of(table, wanted, 5, 1).collect()]
+
+    assert sent(1) == sent(2) == [members.tobytes()] and sent(3) == []
+
+
 def test_the_filter_passes_every_copy(docs):
     md5 = F.unhex(F.md5("text"))
     rows = docs.withColumn("js_md5", md5)
