@@ -16,7 +16,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from . import bloom
-from .common import BROADCAST_BYTES, released, small_batches, widened, written
+from .common import BROADCAST_BYTES, released, short_lived_shuffles, small_batches, widened, written
 from .components import components
 from .textbytes import chunks, mix64, ngram_hashes, word_hashes, words
 
@@ -153,68 +153,93 @@ def member_order(rows: DataFrame) -> Broadcast:
 
 # --- blocks ----------------------------------------------------------------------------------------
 
-def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast,
+def representatives(classes: DataFrame, n_classes: int) -> Broadcast:
+    """A filter of the pairs of ``d1`` and ``rep`` by which copies are left aside."""
+
+    def ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield _row_ids(batch.column("d1").to_numpy(), batch.column("rep").to_numpy())
+
+    return bloom.build(classes.select("d1", "rep"), ids, n_classes, at_least=1, stored=True)
+
+
+def _row_ids(d1: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    return mix64(d1.view(np.uint64) ^ mix64(doc.view(np.uint64)))
+
+
+def chosen_sets(batch: pa.RecordBatch, n: int, chosen: bloom.Filter) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+    """``(digest, members)`` of the rows that stand for a set in ``chosen``, and of few others; none is empty."""
+    for doc, members in zip(batch.column("js_doc").to_pylist(), shingle_sets(batch.column("js_text"), n)):
+        if doc is not None and len(members):
+            d = set_digest(members)
+            if chosen.hits(_row_ids(np.array([d[0]], np.int64), np.array([doc], np.int64)))[0]:
+                yield d, members
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by ``(token, d1)`` the distinct ones whose token two sets have; the last row of a batch waits for
+    the next."""
+    token, d1, before = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+    for batch in batches:
+        token, d1 = (np.concatenate([held, batch.column(c).to_numpy()]) for held, c in ((token, "token"), (d1, "d1")))
+        if not len(token):
+            continue
+        new = np.concatenate([[True], (token[1:] != token[:-1]) | (d1[1:] != d1[:-1])])
+        token, d1 = token[new], d1[new]
+        same = token[1:] == token[:-1]
+        met = np.concatenate([[before], same])  # with the row before
+        met[:-1] |= same  # or the one after
+        yield pa.RecordBatch.from_arrays([pa.array(x[:-1][met[:-1]]) for x in (token, d1)], ["token", "d1"])
+        token, d1, before = token[-1:], d1[-1:], bool(met[-1])
+    if before:
+        yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(d1)], ["token", "d1"])
+
+
+def memberships(docs: DataFrame, n: int, percent: int, order: Broadcast, chosen: Broadcast,
                 n_members: int) -> tuple[DataFrame, list[DataFrame]]:
     """``(block, d1, sets)``: which sets meet in which block of ``sets`` sets; and the written tables it reads.
 
-    Half a digest will do here: two sets with one half only meet in each other's blocks as well.
+    Half a digest will do here: two sets with one half only meet in each other's blocks as well. Of copies only the
+    ``chosen`` row takes part, so that they are no reason to keep a prefix member.
 
-    A prefix member that the twice-seen filter rules out is in no other prefix. Blocks with the same sets are one.
+    A prefix member that the twice-seen filter rules out is in no other prefix. Those that it lets pass without need
+    are left out when sorted, before anything is written. Blocks with the same sets are one.
     """
 
     def prefixes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for members in shingle_sets(batch.column("js_text"), n):
-            if len(members):
-                yield block_keys(members, order.value, percent)
+        for _, members in chosen_sets(batch, n, chosen.value):
+            yield block_keys(members, order.value, percent)
 
-    twice = bloom.build(docs.select("js_text"), prefixes, 2 * n_members)
+    twice = bloom.build(docs.select("js_doc", "js_text"), prefixes, 2 * n_members, stored=True)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
         for batch in batches:
             tokens, d1 = [], []
-            for members in shingle_sets(batch.column("js_text"), n):
-                if not len(members):
-                    continue
+            for d, members in chosen_sets(batch, n, chosen.value):
                 prefix = block_keys(members, order.value, percent)
                 prefix = prefix[twice.value.hits(prefix)]
-                if not len(prefix) or (d := set_digest(members)) in seen:
-                    continue
-                if len(seen) < 200_000:  # copies in one task; the others are found by the shuffle
-                    seen.add(d)
-                tokens.append(prefix.view(np.int64))
-                d1.append(np.full(len(prefix), d[0], np.int64))
+                if len(prefix):
+                    tokens.append(prefix.view(np.int64))
+                    d1.append(np.full(len(prefix), d[0], np.int64))
             if tokens:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, d1)], ["token", "d1"])
 
-    rows = written(docs.select("js_text").mapInArrow(work, "token long, d1 long").distinct(), "prefixes")
+    rows = docs.select("js_doc", "js_text").mapInArrow(work, "token long, d1 long")
+    rows = rows.repartition("token").sortWithinPartitions("token", "d1").mapInArrow(_met, "token long, d1 long")
+    rows = written(rows, "prefixes")
+    twice.destroy()
     alike = [F.bit_xor(F.xxhash64("d1", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
-    blocks = rows.groupBy("token").agg(F.count("*").alias("sets"), *alike).where("sets > 1")
+    blocks = rows.groupBy("token").agg(F.count("*").alias("sets"), *alike)
     blocks = written(blocks.groupBy("sets", "x1", "x2").agg(F.min("token").alias("block")).select("block", "sets"), "blocks")
     return rows.join(blocks, F.col("token") == F.col("block")).select("block", "d1", "sets"), [rows, blocks]
 
 
 def members_of(docs: DataFrame, wanted: DataFrame, n: int, n_wanted: int) -> DataFrame:
     """``(d1, d2, members)`` of the wanted sets, once each; of copies only rows with the key ``rep`` send theirs."""
-
-    def mixed(d1: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        return mix64(d1.view(np.uint64) ^ mix64(doc.view(np.uint64)))
-
-    def ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        yield mixed(batch.column("d1").to_numpy(), batch.column("rep").to_numpy())
-
-    once = bloom.build(wanted.select("d1", "rep"), ids, n_wanted, at_least=1)
+    chosen = representatives(wanted, n_wanted)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            rows = []
-            for doc, members in zip(batch.column("js_doc").to_pylist(), shingle_sets(batch.column("js_text"), n)):
-                if doc is not None and len(members) and (d := set_digest(members)) not in seen:
-                    if once.value.hits(mixed(np.array([d[0]], np.int64), np.array([doc], np.int64)))[0]:
-                        rows.append((*d, members.tobytes()))
-                        if len(seen) < 200_000:
-                            seen.add(d)
+            rows = [(*d, members.tobytes()) for d, members in chosen_sets(batch, n, chosen.value)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["d1", "d2", "members"])
 
@@ -421,7 +446,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int
     Texts without words have size 0 and link with nothing. A row with a NULL key takes its set's component, and none
     where no row with a key has that set. Repeated rows are copies; extra columns play no part.
     """
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession), short_lived_shuffles(docs.sparkSession):
         return _joined(docs, key, text, n_words, percent)
 
 
@@ -431,15 +456,18 @@ def _joined(docs: DataFrame, key: str, text: str, n_words: int, percent: int) ->
     rows = described(docs, n_words)
     order = member_order(rows)
     slim = rows.where(F.col("block").isNull()).select("doc", "text", "size", "d1", "d2", "bits")
-    n_members = slim.agg(F.sum(F.col("size") * (100 - percent) / 100 + 1)).first()[0]
     classes = slim.where("size > 0").groupBy("d1", "d2").agg(
         F.min("doc").alias("rep"), F.first("size").alias("size"), F.first("bits").alias("bits"))
     # sets are numbered, as one key may be the smallest of several
     classes = classes.where(F.col("rep").isNotNull()).withColumn("node", F.monotonically_increasing_id())
     classes = written(classes, "classes")
-    blocks, read = memberships(docs, n_words, percent, order, int(n_members or 1))
+    n_sets, n_members = classes.agg(F.count("*"), F.sum(F.col("size") * (100 - percent) / 100 + 1)).first()
+    chosen = representatives(classes, n_sets)
+    blocks, read = memberships(docs, n_words, percent, order, chosen, int(n_members or 1))
     possible = written(possible_links(blocks.join(classes, "d1"), percent), "possible")
     released(*read)
+    order.destroy()
+    chosen.destroy()
     # sets that possible links connect are compared as one family, so each set is sent once
     connected = components(possible)
     families = written(connected.withColumnRenamed("component", "family"), "families")
@@ -505,7 +533,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n_word
     while any(c.lower().startswith(mark) for c in docs.columns):  # names that no column of docs has
         mark += "_"
     gone = rows.where(~F.col("first")).select(F.col("doc").alias(f"{mark}doc"), F.col("text").alias(f"{mark}md5"))
-    gone = written(gone.distinct(), "copies")
+    with short_lived_shuffles(docs.sparkSession):
+        gone = written(gone.distinct(), "copies")
     md5 = F.unhex(F.md5(F.col(text)))
     own = [F.col(f"`{c}`") for c in docs.columns]
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import time
 import tracemalloc
 import zlib
 
@@ -540,3 +541,54 @@ def test_join_deletes_what_nothing_reads(spark, docs):
     left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
     assert left <= {"sets", "classes", "links", "found"}
     assert out.count() == docs.count() and links.count() >= 0
+
+
+def test_prefix_rows_are_those_of_sets_that_meet(spark, monkeypatch):
+    one, two = (" ".join(f"{w}{i}" for i in range(60)) for w in "uv")
+    near = two.replace("v59", "other")
+    docs = spark.createDataFrame([(1, one), (2, one), (3, two), (4, near)], "doc_id long, text string").repartition(4)
+    tables, write = {}, jaccard_join.written
+
+    def kept(df, name):
+        out = write(df, name)
+        if name == "prefixes":
+            tables[name] = out.collect()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", kept)
+    rows, _ = jaccard_join.join(docs)
+    assert {r.doc: r.component for r in rows.collect()} == {1: 1, 2: 1, 3: 3, 4: 3}
+    sets = {}
+    for r in tables["prefixes"]:
+        sets.setdefault(r.token, []).append(r.d1)
+    assert sets and all(len(s) == len(set(s)) == 2 for s in sets.values())  # copies are one set, which meets no other
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 40])
+def test_rows_that_meet_in_batches_of_any_size(size):
+    rng = np.random.default_rng(size)
+    pairs = sorted(zip(rng.integers(0, 25, 40).tolist(), rng.integers(0, 3, 40).tolist()))
+    columns = [pa.array(x, pa.int64()) for x in zip(*pairs)]
+    batches = [pa.RecordBatch.from_arrays([c[i:i + size] for c in columns], ["token", "d1"]) for i in range(0, 40, size)]
+    got = [tuple(r.values()) for b in jaccard_join._met(iter(batches)) for r in b.to_pylist()]
+    distinct = sorted(set(pairs))
+    assert got == [p for p in distinct if sum(q[0] == p[0] for q in distinct) > 1]
+
+
+def test_join_leaves_no_shuffle_files(spark, docs):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        it, names = manager.getAllFiles().iterator(), set()
+        while it.hasNext():
+            names.add(it.next().getName())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(key)
+    jaccard_join.join(docs)
+    for _ in range(40):  # Spark deletes them in the background
+        if files() <= before:
+            break
+        time.sleep(0.5)
+    assert files() <= before and spark.conf.get(key) == setting
