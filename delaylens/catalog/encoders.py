@@ -58,11 +58,8 @@ def f2(t: Tables):
 
 @query("f2_one_hot_sparse", "SELECT FLIGHT_ID, CAST(dense_rank() OVER (ORDER BY CAST(FL_NUMBER AS VARCHAR)) - 1 AS INT) AS hot FROM flights")
 def f2_sparse(t: Tables):
-    from pyspark.ml.functions import vector_to_array
-
     rows = encode.one_hot(t.flights.select("FLIGHT_ID", "FL_NUMBER"), "FL_NUMBER", form="vector")
-    place = F.array_position(vector_to_array("FL_NUMBER_vec"), 1.0) - 1
-    return rows.select("FLIGHT_ID", place.cast("int").alias("hot"))
+    return rows.select("FLIGHT_ID", encode.hot_place("FL_NUMBER_vec").cast("int").alias("hot"))
 
 
 @query("f3_dummies_drop_first", "SELECT FLIGHT_ID, " + ", ".join(

@@ -1,8 +1,10 @@
 """Null, empty and odd values."""
 
 import datetime
+from types import SimpleNamespace
 
 import pytest
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import functions as F, types as T
 
 from delaylens.functions import times
@@ -173,6 +175,26 @@ def test_encoders_on_unseen(spark):
     assert [tuple(r) for r in encode.one_hot(first, "c", fitted, drop_first=True).collect()] == [(0, 0), (1, 0), (0, 1), (0, 0)]
 
 
+def test_the_place_of_a_one_is_read_from_a_sparse_vector_as_it_is(spark):
+    from pyspark.ml.linalg import Vectors
+
+    wide = 2 ** 31 - 1  # 16 GB written out
+    rows = [(Vectors.sparse(wide, [wide - 7], [1.0]),), (Vectors.sparse(wide, [3, 9], [2.0, 1.0]),), (Vectors.sparse(wide, [], []),),
+            (Vectors.dense([0.0, 0.0, 1.0]),), (Vectors.dense([0.0]),), (None,)]
+    df = spark.createDataFrame(rows, T.StructType([T.StructField("v", VectorUDT())]))
+    assert values(df.select(encode.hot_place("v"))) == [wide - 7, 9, -1, 2, -1, None]
+
+
+def test_queries_of_one_hot_vectors_do_not_write_them_out(spark):
+    from delaylens.catalog.encoders import f2_sparse
+
+    flights = spark.createDataFrame([("a", 7), ("b", 5), ("c", None), ("d", 7)], "FLIGHT_ID string, FL_NUMBER int")
+    for query, expected in ((f2_sparse, {"a": 1, "b": 0, "c": -1, "d": 1}),):
+        found = query(SimpleNamespace(spark=spark, flights=flights))
+        assert {r["FLIGHT_ID"]: r["hot"] for r in found.collect()} == expected
+        assert "vector_to_array" not in found._jdf.queryExecution().analyzed().toString()
+
+
 def test_one_hot_has_one_schema_for_any_number_of_categories(spark):
     many = spark.range(300).selectExpr("CAST(id AS STRING) AS c", "id")
     wide = encode.dummies_drop_first(many, ["c"])
