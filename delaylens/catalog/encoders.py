@@ -70,11 +70,8 @@ def f3(t: Tables):
 
 @query("f3_dummies_drop_first_vector", "SELECT FLIGHT_ID, CAST(nullif(dense_rank() OVER (ORDER BY CAST(FL_NUMBER AS VARCHAR)) - 2, -1) AS INT) AS hot FROM flights")
 def f3_vector(t: Tables):
-    from pyspark.ml.functions import vector_to_array
-
     rows = encode.dummies_drop_first(t.flights.select("FLIGHT_ID", "FL_NUMBER"), ["FL_NUMBER"], form="vector")
-    place = F.array_position(vector_to_array("FL_NUMBER_vec"), 1.0) - 1
-    return rows.select("FLIGHT_ID", F.nullif(place, F.lit(-1)).cast("int").alias("hot"))
+    return rows.select("FLIGHT_ID", F.nullif(encode.hot_place("FL_NUMBER_vec"), F.lit(-1)).cast("int").alias("hot"))
 
 
 @query("f4_ordinal_encode", "SELECT FLIGHT_ID, CAST(isodow(FL_DATE) - 1 AS BIGINT) AS day FROM flights")

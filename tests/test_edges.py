@@ -186,10 +186,10 @@ def test_the_place_of_a_one_is_read_from_a_sparse_vector_as_it_is(spark):
 
 
 def test_queries_of_one_hot_vectors_do_not_write_them_out(spark):
-    from delaylens.catalog.encoders import f2_sparse
+    from delaylens.catalog.encoders import f2_sparse, f3_vector
 
     flights = spark.createDataFrame([("a", 7), ("b", 5), ("c", None), ("d", 7)], "FLIGHT_ID string, FL_NUMBER int")
-    for query, expected in ((f2_sparse, {"a": 1, "b": 0, "c": -1, "d": 1}),):
+    for query, expected in ((f2_sparse, {"a": 1, "b": 0, "c": -1, "d": 1}), (f3_vector, {"a": 0, "b": None, "c": None, "d": 0})):
         found = query(SimpleNamespace(spark=spark, flights=flights))
         assert {r["FLIGHT_ID"]: r["hot"] for r in found.collect()} == expected
         assert "vector_to_array" not in found._jdf.queryExecution().analyzed().toString()
