@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from delaylens.catalog.learning import FIVE, learning_rows, part
+from delaylens.catalog.learning import FIVE, learning_rows, let_go, part
 from delaylens.operators import evaluate, explain, models, neural, search, split
 from delaylens.sources import stores
 from delaylens.streaming.scoring import landed_stream, score_stream
@@ -92,6 +92,36 @@ def test_network_weights_for_any_partitioning(spark, dropout):
         assert other.history == [pytest.approx(h) for h in found[0].history]
 
 
+def test_networks_side_by_side_share_jobs_and_equal_single_fits(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(400, 2))
+    df = spark.createDataFrame([(float(a), float(b), float(a - b), i % 3 if i % 50 else None, i % 5 == 0) for i, (a, b) in enumerate(x)],
+                               "a double, b double, y double, fold int, val boolean").repartition(3)
+    train, val = df.where("not val"), df.where("val")
+    settings = [{"hidden": h, "batch": 80, "epochs": 2, "rate": 1e-2} for h in ((4,), (6, 3))]
+    jobs, real = [], neural.sum_over_tasks
+    monkeypatch.setattr(neural, "sum_over_tasks", lambda *a, **more: jobs.append(1) or real(*a, **more))
+    best, table = neural.kfold_network_search(train, val, ["a", "b"], "y", settings, k=3, patience=99)
+    assert len(jobs) == 2 * 4 + 1  # the steps of two epochs and the last judgement, for eight fits at once
+    finals = []
+    for setting, row in zip(settings, table.collect()):
+        net = neural.Net(2, setting["hidden"], rate=1e-2, batch=80)
+        sides = [(train.where(f"fold != {i}"), train.where(f"fold = {i}")) for i in range(3)] + [(train, val)]
+        alone = [neural.fit_network(a, ["a", "b"], "y", net, b, 2, 99, "mae") for a, b in sides]
+        maes = [min(h[3] for h in f.history if h[1] == "val") for f in alone]
+        assert (row["fold_mae"], row["fold_std"], row["validation_mae"]) == pytest.approx((np.mean(maes[:3]), np.std(maes[:3]), maes[3]))
+        finals.append((maes[3], alone[3]))
+    assert np.abs(best.weights - min(finals, key=lambda f: f[0])[1].weights).max() < 1e-8
+
+
+def test_training_rows_are_kept_without_their_vectors(tables):
+    rows = learning_rows(tables, "LATE")
+    assert rows.kept.columns == ["LATE", *FIVE, "split", "fold"]
+    assert rows.kept.is_cached and not rows.is_cached
+    let_go(rows)
+    assert not rows.kept.is_cached
+
+
 def test_network_steps_equal_adam_on_whole_batches(spark):
     """One step an epoch: the weights of plain Adam on the mean gradient of all rows."""
     rng = np.random.default_rng(6)
