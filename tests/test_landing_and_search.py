@@ -83,3 +83,38 @@ def test_search_resumes_and_notices_other_rows(spark, tmp_path, monkeypatch):
     args = (df, settings, 3, "y", fit, str(tmp_path / "params"), ledger, "s")
     assert search.stored_or_searched(*args)[0] == {"power": 1.0} and search.stored_or_searched(*args) == ({"power": 1.0}, None)
     assert len(made) == 23
+
+
+def test_a_search_scores_like_a_cross_validator_without_copies_of_its_folds(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    from delaylens.operators import models
+
+    copied = []
+
+    class Watched(LogisticRegression):
+        def fitMultiple(self, dataset, paramMaps):
+            copied.append(dataset.is_cached)
+            return super().fitMultiple(dataset, paramMaps)
+
+    rows = [(float(i % 7), float(i % 11), int(i % 7 + i % 3 > 4), i % 3) for i in range(300)]
+    df = models.assemble(spark.createDataFrame(rows, "a double, b double, y int, fold int"), ["a", "b"]).persist()
+    evaluator = BinaryClassificationEvaluator(labelCol="y", numBins=0)
+    base = Watched(labelCol="y", maxIter=20)
+    maps = search.param_maps(base, {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 1.0]})
+    plain = CrossValidator(estimator=LogisticRegression(labelCol="y", maxIter=20), estimatorParamMaps=[
+        {LogisticRegression.regParam: m[base.regParam], LogisticRegression.elasticNetParam: m[base.elasticNetParam]} for m in maps],
+        evaluator=evaluator, numFolds=3, foldCol="fold").fit(df)
+    model, best, table = search.grid_search(base, {}, df, evaluator, 3, maps=maps)
+    found = table.collect()
+    assert copied and not any(copied)
+    assert [r["mean"] for r in found] == pytest.approx(plain.avgMetrics)
+    assert [r["std"] for r in found] == pytest.approx(plain.stdMetrics)
+    assert sum(r["is_best"] for r in found) == 1
+    assert list(model.coefficients) == pytest.approx(list(plain.bestModel.coefficients))
+    for wrong in (df.withColumn("fold", df["fold"] + 1), df.where("fold < 2"), df.selectExpr("* except (fold)", "nullif(fold, 1) fold")):
+        with pytest.raises(ValueError):
+            search.grid_search(base, {}, wrong, evaluator, 3, maps=maps)
+    df.unpersist()
