@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from delaylens.catalog.learning import FIVE, learning_rows, let_go, part
 from delaylens.operators import evaluate, explain, models, neural, search, split
+from delaylens.operators.scale import complete_rows
 from delaylens.sources import stores
 from delaylens.streaming.scoring import landed_stream, score_stream
 
@@ -296,3 +297,23 @@ def test_fold_scores_and_summary(rows):
     assert scores.count() == 6
     summary = evaluate.cv_summary(scores).collect()
     assert sum(r["is_best"] for r in summary) == 1
+
+
+def test_the_five_measure_model_reads_flights_once_and_leaves_no_copy(tables, monkeypatch):
+    from delaylens.catalog import learning
+
+    real, seen = models.scaler_pca_logistic, []
+
+    def watched(train, *more):
+        plan = train._jdf.queryExecution().optimizedPlan().toString()
+        seen.append((plan.count("Relation"), plan.count("Join"), sorted(train.columns), train.inputFiles()[0].rpartition("/")[0]))
+        return real(train, *more)
+
+    monkeypatch.setattr(models, "scaler_pca_logistic", watched)
+    flights = tables.flights
+    fitted = learning.five_measure_model(tables)
+    assert [s[:3] for s in seen] == [(1, 0, sorted(["LATE", *FIVE]))]
+    assert not stores.path_exists(tables.spark, seen[0][3])
+    same = real(complete_rows(tables.late.select("LATE", *FIVE)), FIVE, "LATE", 5)
+    a, b = (models.score(flights.select("FLIGHT_ID", *FIVE), m).agg(F.sum("probability_1"), F.sum("predicted")).first() for m in (fitted, same))
+    assert tuple(a) == pytest.approx(tuple(b), rel=1e-9)
