@@ -317,3 +317,18 @@ def test_the_five_measure_model_reads_flights_once_and_leaves_no_copy(tables, mo
     same = real(complete_rows(tables.late.select("LATE", *FIVE)), FIVE, "LATE", 5)
     a, b = (models.score(flights.select("FLIGHT_ID", *FIVE), m).agg(F.sum("probability_1"), F.sum("predicted")).first() for m in (fitted, same))
     assert tuple(a) == pytest.approx(tuple(b), rel=1e-9)
+
+
+def test_the_logistic_study_keeps_neither_dummies_nor_vectors(tables, monkeypatch):
+    from delaylens.plans import logistic_study
+
+    kept, real = [], logistic_study.spread
+    monkeypatch.setattr(logistic_study, "spread", lambda df: kept.append(real(df)) or kept[-1])
+    columns = logistic_study.COLUMN_SETS["minimal"]
+    train, test, features, last = logistic_study._parts(tables.flights, columns, 42)
+    assert [sorted(k.columns) for k in kept] == [sorted(["FLIGHT_ID", "DELAY_STATUS", *columns]), sorted(["DELAY_STATUS", "split", *columns])]
+    assert last.is_cached and not kept[0].is_cached
+    wide, names = logistic_study.column_set(logistic_study.study_frame(tables.flights), columns)
+    assert features == names and train.first()["features"].size == len(names)
+    assert train.count() + test.count() == wide.count()
+    last.unpersist()
