@@ -123,6 +123,24 @@ def test_training_rows_are_kept_without_their_vectors(tables):
     assert not rows.kept.is_cached
 
 
+def test_forest_rows_are_dealt_alike_whichever_columns_are_kept(tables):
+    where, found = F.spark_partition_id().alias("p"), []
+    for needed in ((), ("FLIGHT_ID", "ARR_DELAY")):
+        rows = learning_rows(tables, *needed, forest=True)
+        found.append(sorted(tuple(r) for r in rows.select("FLIGHT_ID", where).collect()))
+        let_go(rows)
+    assert found[0] == found[1]
+
+
+def test_a_large_result_is_written_in_columns(tables):
+    from delaylens.catalog.learning import released
+
+    rows = tables.late.select("FLIGHT_ID", "LATE").limit(50).persist()
+    out = released(rows, rows.withColumn("twice", F.col("LATE") * 2))
+    assert not rows.is_cached and out.columns == ["FLIGHT_ID", "LATE", "twice"] and out.count() == 50
+    assert all(f.endswith(".parquet") for f in out.inputFiles()) and out.inputFiles()
+
+
 def test_network_steps_equal_adam_on_whole_batches(spark):
     """One step an epoch: the weights of plain Adam on the mean gradient of all rows."""
     rng = np.random.default_rng(6)
